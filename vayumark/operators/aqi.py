@@ -161,13 +161,15 @@ def with_trends(scored: DataFrame) -> DataFrame:
     calendar (366 rows a year) however many readings it has.
     """
     by_day = W.partitionBy("city_id").orderBy("observed_date")
-    return scored.withColumns(
+    framed = scored.withColumns(
         {
             "aqi_change_vs_prev_day": F.col("aqi") - F.lag("aqi").over(by_day),
-            "aqi_7d_avg": half_up(F.avg("aqi").over(by_day.rowsBetween(-6, 0)), 1),
-            "updated_at": F.current_timestamp(),
+            "aqi_7d_avg": F.avg("aqi").over(by_day.rowsBetween(-6, 0)),
         }
     )
+    return framed.withColumns(
+        {"aqi_7d_avg": half_up("aqi_7d_avg", 1), "updated_at": F.current_timestamp()}
+    )
 
 
 def daily_aqi(daily: DataFrame, breakpoints: DataFrame, **limits: int) -> DataFrame:

@@ -48,11 +48,12 @@ def stage_hourly(raw: DataFrame) -> DataFrame:
     clean = raw.select(
         F.lower(F.trim("city_id")).alias("city_id"),
         F.col("observed_at").cast("timestamp_ntz").alias("observed_at"),
-        day_of("observed_at").alias("observed_date"),
         *(p for p in POLLUTANTS if p != "co"),
         (F.col("co") / 1000.0).alias("co_mg_m3"),
         "source",
         "ingested_at",
         "run_id",
     )
-    return newest_reading(clean)
+    return newest_reading(clean).select(
+        *READING_KEY, day_of("observed_at").alias("observed_date"), *clean.columns[2:]
+    )

@@ -15,7 +15,7 @@ from vayumark.operators import payloads as contract
 from vayumark.operators.quality import RowCheck, TableCheck
 from vayumark.plans import audit, build, landing, report
 from vayumark.schemas import FACT, RAW
-from vayumark.session import scratch_path
+from vayumark.session import scratch_path, stage
 from vayumark.sources import (
     last_finished_days,
     only_finished_days,
@@ -51,6 +51,11 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aqi.daily_aqi(daily.pollutant_daily(hourly(spark, sf_dir)), read_breakpoints(spark))
 
 
+def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as a table, which is what marts and reports read."""
+    return stage(fact(spark, sf_dir), "fact")
+
+
 def compared(table: DataFrame) -> DataFrame:
     """Without the column that holds the time of the run."""
     return table.drop("updated_at")
@@ -225,12 +230,12 @@ def dim_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_per_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.latest_per_city(fact(spark, sf_dir))
+    return marts.latest_per_city(fact_table(spark, sf_dir))
 
 
 @query
 def city_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.city_summary(fact(spark, sf_dir), dim_city(spark, sf_dir))
+    return marts.city_summary(fact_table(spark, sf_dir), dim_city(spark, sf_dir))
 
 
 @query
@@ -268,7 +273,7 @@ def history_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def recent_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.recent_daily(fact(spark, sf_dir), dim_city(spark, sf_dir))
+    return report.recent_daily(fact_table(spark, sf_dir), dim_city(spark, sf_dir))
 
 
 @query
@@ -314,7 +319,8 @@ def kpi_poor_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.latest_bars(city_summary(spark, sf_dir), recent_daily(spark, sf_dir))
+    facts, dim = fact_table(spark, sf_dir), dim_city(spark, sf_dir)
+    return report.latest_bars(marts.city_summary(facts, dim), report.recent_daily(facts, dim))
 
 
 # Data quality
