@@ -63,10 +63,10 @@ def incremental_bounds(
     return Bounds(last - timedelta(days=lookback + context), last - timedelta(days=lookback))
 
 
-def hourly_from(spark: SparkSession, lake: str, first_day: date) -> DataFrame:
-    """Staged readings for days from ``first_day`` on, plus one day of context
-    for the 8-hour windows that cross its midnight. Prunes lake folders."""
-    return stage_hourly(read_raw(spark, lake, first_day - timedelta(days=1)))
+def raw_from(spark: SparkSession, lake: str, first_day: date | None) -> DataFrame:
+    """Raw rows for days from ``first_day`` on, plus one day of context for the
+    8-hour windows that cross its midnight. Prunes lake folders."""
+    return read_raw(spark, lake, first_day and first_day - timedelta(days=1))
 
 
 def _earlier_rows(fact: DataFrame, scored: DataFrame, bounds: Bounds) -> DataFrame | None:
@@ -94,16 +94,12 @@ def _earlier_rows(fact: DataFrame, scored: DataFrame, bounds: Bounds) -> DataFra
 
 
 def incremental_rows(
-    spark: SparkSession,
-    lake: str,
-    fact: DataFrame,
-    breakpoints: DataFrame,
-    bounds: Bounds,
-    **limits: int,
+    daily: DataFrame, fact: DataFrame, breakpoints: DataFrame, bounds: Bounds, **limits: int
 ) -> DataFrame:
-    """Fact rows from the write bound on, equal to those of a full build."""
-    hourly = hourly_from(spark, lake, bounds.read_from)
-    daily = pollutant_daily(hourly).filter(F.col("observed_date") >= F.lit(bounds.read_from))
+    """Fact rows from the write bound on, equal to those of a full build.
+
+    ``daily`` holds the days from the read bound on.
+    """
     scored = stage(score_days(daily, breakpoints, **limits), "scored")
     earlier = _earlier_rows(fact, scored, bounds)
     if earlier is not None:
@@ -115,9 +111,10 @@ def incremental_rows(
     )
 
 
-def full_rows(spark: SparkSession, lake: str, breakpoints: DataFrame, **limits: int) -> DataFrame:
-    """The whole fact from the whole lake, as one lazy plan."""
-    return daily_aqi(pollutant_daily(stage_hourly(read_raw(spark, lake))), breakpoints, **limits)
+def daily_from(hourly: DataFrame, first_day: date | None) -> DataFrame:
+    """Daily values of the days from ``first_day`` on; all if there is none."""
+    daily = pollutant_daily(hourly)
+    return daily if first_day is None else daily.filter(F.col("observed_date") >= F.lit(first_day))
 
 
 def _stored_schema(spark: SparkSession, path: str, day: date) -> T.StructType:
@@ -154,6 +151,31 @@ def write_fact(rows: DataFrame, path: str) -> None:
     )
 
 
+def pending_bounds(
+    spark: SparkSession,
+    path: str,
+    full_refresh: bool = False,
+    lookback: int = LOOKBACK_DAYS,
+    context: int = CONTEXT_DAYS,
+) -> Bounds | None:
+    """Bounds of an incremental run; None if everything has to be built."""
+    if full_refresh or not table_exists(spark, path):
+        return None
+    return incremental_bounds(read_fact(spark, path), lookback, context)
+
+
+def publish_fact(
+    daily: DataFrame, path: str, breakpoints: DataFrame, bounds: Bounds | None, **limits: int
+) -> None:
+    """Score daily values and write them: the whole fact, or the part in bounds."""
+    if bounds is None:
+        rows = daily_aqi(daily, breakpoints, **limits)
+        write_by_day(rows, path, "observed_date", ["city_id"], replace_all=True)
+    else:
+        fact = read_fact(daily.sparkSession, path)
+        write_fact(incremental_rows(daily, fact, breakpoints, bounds, **limits), path)
+
+
 def build_fact(
     spark: SparkSession,
     lake: str,
@@ -171,15 +193,10 @@ def build_fact(
     only the look-back and newer days are; days before it change only through a
     full refresh, which a back-fill therefore needs.
     """
-    bounds = None
-    if not full_refresh and table_exists(spark, path):
-        bounds = incremental_bounds(read_fact(spark, path), lookback, context)
-    if bounds is None:
-        rows = full_rows(spark, lake, breakpoints, **limits)
-        write_by_day(rows, path, "observed_date", ["city_id"], replace_all=True)
-    else:
-        fact = read_fact(spark, path)
-        write_fact(incremental_rows(spark, lake, fact, breakpoints, bounds, **limits), path)
+    bounds = pending_bounds(spark, path, full_refresh, lookback, context)
+    first_day = bounds and bounds.read_from
+    hourly = stage_hourly(raw_from(spark, lake, first_day))
+    publish_fact(daily_from(hourly, first_day), path, breakpoints, bounds, **limits)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -189,12 +206,15 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def require_pass(results: DataFrame) -> DataFrame:
-    """Check results, kept for the report; raises if any check failed."""
-    results = stage(results, "checks")
-    # as many rows as there are checks
-    failed = [row.check for row in results.filter("status <> 'pass'").select("check").collect()]
+    """Check results as a local table; raises if any check failed.
+
+    There are as many rows as checks, so they are brought to the driver once.
+    """
+    rows = results.collect()
+    results = results.sparkSession.createDataFrame(rows, results.schema)
+    failed = sorted(row.check for row in rows if row.status != "pass")
     if failed:
-        raise AuditFailed(f"{len(failed)} check(s) failed: {', '.join(sorted(failed))}", results)
+        raise AuditFailed(f"{len(failed)} check(s) failed: {', '.join(failed)}", results)
     return results
 
 
@@ -226,27 +246,25 @@ def build(
 ) -> DataFrame:
     """Build and audit every layer in dependency order; returns the check results.
 
-    A layer whose checks fail stops everything after it. Readings are audited
-    over what this run reads: everything on a full build, otherwise the
-    look-back with its context, because older days were audited when they were
-    built and are not touched.
+    A layer whose checks fail stops everything after it. Hourly and daily rows
+    have several consumers here, so each is computed once and staged. Readings
+    are audited over what this run reads: everything on a full build, otherwise
+    the look-back with its context, because older days were audited when they
+    were built and are not touched.
     """
     fact_path = f"{root}/daily_aqi"
-    first_day = None
-    if not full_refresh and table_exists(spark, fact_path):
-        bounds = incremental_bounds(read_fact(spark, fact_path))
-        first_day = bounds.read_from - timedelta(days=1) if bounds else None
-
-    raw = read_raw(spark, lake, first_day)
-    hourly = stage_hourly(raw)
-    results = [
-        require_pass(audit.source_checks(raw)),
-        require_pass(audit.staging_checks(hourly, cities)),
-        require_pass(audit.daily_checks(pollutant_daily(hourly))),
-    ]
+    bounds = pending_bounds(spark, fact_path, full_refresh)
+    first_day = bounds and bounds.read_from
+
+    raw = raw_from(spark, lake, first_day)
+    results = [require_pass(audit.source_checks(raw))]
+    hourly = stage(stage_hourly(raw), "hourly")
+    results.append(require_pass(audit.staging_checks(hourly, cities)))
+    daily = stage(daily_from(hourly, first_day), "daily")
+    results.append(require_pass(audit.daily_checks(daily)))
     dim = materialize(marts.dim_city(cities), f"{root}/dim_city")
     results.append(require_pass(audit.dim_checks(dim)))
-    build_fact(spark, lake, fact_path, breakpoints, full_refresh=full_refresh)
+    publish_fact(daily, fact_path, breakpoints, bounds)
     fact = read_fact(spark, fact_path)
     results.append(require_pass(audit.fact_checks(fact, dim, today)))
     summary = materialize(marts.city_summary(fact, dim), f"{root}/city_summary")

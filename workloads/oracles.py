@@ -316,6 +316,67 @@ TO_RECENT = (readings(), *TO_FACT, CITIES, RECENT)
 FACT_SQL = _with(readings(), *TO_FACT) + "SELECT * FROM fact"
 SUMMARY_SQL = _with(*TO_SUMMARY) + "SELECT * FROM summary"
 
+
+
+def _unique(table: str, columns: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT 1 FROM {table} GROUP BY {columns} HAVING count(*) > 1))"
+
+
+def _orphans(table: str) -> str:
+    return f"(SELECT count(*) FROM {table} WHERE city_id NOT IN (SELECT city_id FROM cities))"
+
+
+def _where(table: str, condition: str) -> str:
+    return f"(SELECT count(*) FROM {table} WHERE {condition})"
+
+
+FACT_SHIFTS = SHIFTS.replace("FROM order_series", "FROM valid")
+LABELS = "('Good', 'Satisfactory', 'Moderate', 'Poor', 'Very Poor', 'Severe')"
+DECLARED = [
+    ("raw", "city_id not null", _where("readings", "city_id IS NULL")),
+    ("raw", "observed_at not null", _where("readings", "observed_at IS NULL")),
+    ("hourly", "city_id not null", _where("readings", "city_id IS NULL")),
+    ("hourly", "observed_at not null", _where("readings", "observed_at IS NULL")),
+    ("hourly", "pm2_5 in range", _where("readings", "pm2_5 NOT BETWEEN 0 AND 2000")),
+    ("hourly", "pm10 in range", _where("readings", "pm10 NOT BETWEEN 0 AND 3000")),
+    ("hourly", "city_id + observed_at unique", _unique("readings", "city_id, observed_at")),
+    ("hourly", "city_id known", _orphans("readings")),
+    ("pollutant_daily", "city_id + observed_date unique", _unique("daily", "city_id, observed_date")),
+    ("dim_city", "city_id not null", _where("cities", "city_id IS NULL")),
+    ("dim_city", "city_id unique", _unique("cities", "city_id")),
+    ("daily_aqi", "daily_aqi_id not null", _where("fact", "daily_aqi_id IS NULL")),
+    ("daily_aqi", "city_id not null", _where("fact", "city_id IS NULL")),
+    ("daily_aqi", "aqi in range", _where("fact", "aqi NOT BETWEEN 0 AND 500")),
+    ("daily_aqi", "aqi_category accepted", _where("fact", f"aqi_category NOT IN {LABELS}")),
+    (
+        "daily_aqi",
+        "dominant_pollutant accepted",
+        _where("fact", "dominant_pollutant NOT IN ('pm2_5', 'pm10', 'no2', 'so2', 'o3', 'co')"),
+    ),
+    ("daily_aqi", "hours_reported in range", _where("fact", "hours_reported NOT BETWEEN 1 AND 24")),
+    ("daily_aqi", "aqi_category matches aqi", _where("fact", f"aqi_category <> {category('aqi')}")),
+    ("daily_aqi", "observed_date not in future", _where("fact", "observed_date > current_date")),
+    ("daily_aqi", "daily_aqi_id unique", _unique("fact", "daily_aqi_id")),
+    ("daily_aqi", "city_id + observed_date unique", _unique("fact", "city_id, observed_date")),
+    ("daily_aqi", "city_id known", _orphans("fact")),
+    ("city_summary", "city_id not null", _where("summary", "city_id IS NULL")),
+    ("city_summary", "city_id unique", _unique("summary", "city_id")),
+    ("level_shifts", "level_shift_id not null", _where("shifts", "level_shift_id IS NULL")),
+    ("level_shifts", "city_id not null", _where("shifts", "city_id IS NULL")),
+    ("level_shifts", "direction accepted", _where("shifts", "direction NOT IN ('up', 'down')")),
+    ("level_shifts", "level_shift_id unique", _unique("shifts", "level_shift_id")),
+    ("level_shifts", "city_id known", _orphans("shifts")),
+]
+DECLARED_SQL = (
+    _with(*TO_SUMMARY, FACT_SHIFTS)
+    + 'SELECT *, CASE WHEN failures = 0 THEN \'pass\' ELSE \'fail\' END AS status FROM (\n'
+    + "\nUNION ALL ".join(
+        f"SELECT '{model}' AS model, '{check}' AS \"check\", {count} AS failures"
+        for model, check, count in DECLARED
+    )
+    + ")"
+)
+
 # day of the month -> broken field and problem
 DAMAGE = "(VALUES (3, 'pm10', 'length'), (6, 'pm2_5', 'negative'), (9, 'carbon_monoxide', 'unit'), " \
          "(12, 'ozone', 'missing'), (15, 'pm2_5', 'negative'), (15, 'carbon_monoxide', 'unit')) " \
@@ -352,6 +413,9 @@ ORACLES = {
     "payload_flatten": _with(readings(PER_USER)) + """
         SELECT city_id, observed_at, pm2_5, pm10, no2, so2, o3, co FROM readings
         WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15)""",
+    "payload_documents": _with(readings(PER_USER)) + """
+        SELECT city_id, observed_at, pm2_5, pm10, no2, so2, o3, co FROM readings
+        WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15)""",
     "contract_violations": _with(readings(PER_USER)) + f"""
         SELECT city_id, first_hour, field, problem
         FROM (SELECT city_id, observed_date, min(observed_at) AS first_hour FROM readings GROUP BY ALL)
@@ -378,6 +442,7 @@ ORACLES = {
                {ordinal(category('aqi'))} AS category_ordinal
         FROM order_series""",
     "incremental_fact": FACT_SQL,
+    "backfill_fact": FACT_SQL,
     "dim_city": _with(CITIES) + "SELECT * FROM cities",
     "latest_per_city": _with(*TO_SUMMARY) + "SELECT * FROM newest",
     "city_summary": SUMMARY_SQL,
@@ -474,6 +539,8 @@ ORACLES = {
     "read_lake_days": _with(readings()) + """
         SELECT city_id, observed_at, pm2_5 FROM readings
         WHERE observed_date IN (DATE '2024-01-05', DATE '2024-01-17')""",
+    "read_lake_from": _with(readings()) + """
+        SELECT city_id, observed_at, pm2_5 FROM readings WHERE observed_date >= DATE '2024-01-11'""",
     "raw_files": "SELECT count(DISTINCT CAST(ts AS DATE)) AS raw_files FROM events",
     "audit_gate": FACT_SQL,
     "schema_append": _with(readings(), *TO_FACT) + """
@@ -481,6 +548,7 @@ ORACLES = {
                CASE WHEN observed_date >= DATE '2024-01-12' THEN isodow(observed_date) >= 6 END AS is_weekend
         FROM fact""",
     "build_tables": SUMMARY_SQL,
+    "declared_checks": DECLARED_SQL,
     "finished_days_only": """
         SELECT event_id, CAST(ts AS DATE) AS date FROM events WHERE ts < TIMESTAMP '2024-01-21'""",
     "last_finished": """

@@ -22,6 +22,7 @@ from vayumark.sources import (
     raw_file_count,
     read_breakpoints,
     read_days,
+    read_payloads,
     read_raw,
 )
 
@@ -107,15 +108,31 @@ def conform_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Payloads
 
 
+def received(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload documents at rest, as ingestion finds them."""
+    return stage(adapters.payloads(spark, sf_dir), "payloads")
+
+
 @query
 def payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = contract.split_valid(adapters.payloads(spark, sf_dir))
+    good, _ = contract.split_valid(received(spark, sf_dir))
     return contract.flatten_payload(good)
 
 
 @query
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract.contract_violations(adapters.payloads(spark, sf_dir))
+    return contract.contract_violations(received(spark, sf_dir))
+
+
+@query
+def payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents written as JSON and read with the payload schema."""
+    path = scratch_path(spark, "json")
+    adapters.payloads(spark, sf_dir).write.option(
+        "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm"
+    ).json(path)
+    good, _ = contract.split_valid(read_payloads(spark, path, multi_line=False))
+    return contract.flatten_payload(good)
 
 
 # Daily pollutant values
@@ -220,6 +237,19 @@ def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared(build.read_fact(spark, path))
 
 
+@query
+def backfill_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half of the history first, then the first half and a full refresh."""
+    lake, path = scratch_path(spark, "lake"), scratch_path(spark, "fact")
+    readings = adapters.raw_hourly(spark, sf_dir)
+    second_half = day_of("observed_at") >= date(2024, 1, 16)
+    landing.land(readings.filter(second_half), lake)
+    build.build_fact(spark, lake, path, read_breakpoints(spark))
+    landing.land(readings.filter(~second_half), lake)
+    build.build_fact(spark, lake, path, read_breakpoints(spark), full_refresh=True)
+    return compared(build.read_fact(spark, path))
+
+
 # Marts
 
 
@@ -481,6 +511,13 @@ def read_lake_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_days(spark, lake, wanted).select("city_id", "observed_at", "pm2_5")
 
 
+@query
+def read_lake_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = scratch_path(spark, "lake")
+    landing.land(adapters.raw_hourly(spark, sf_dir), lake)
+    return read_raw(spark, lake, date(2024, 1, 11)).select("city_id", "observed_at", "pm2_5")
+
+
 @query
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_path(spark, "lake")
@@ -523,6 +560,16 @@ def build_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/city_summary")
 
 
+@query
+def declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of all declared checks after a full build."""
+    lake, root = scratch_path(spark, "lake"), scratch_path(spark, "tables")
+    landing.land(adapters.raw_hourly(spark, sf_dir), lake)
+    return build.build(
+        spark, lake, root, adapters.cities(spark, sf_dir), read_breakpoints(spark)
+    )
+
+
 # Day windows
 
 
