@@ -18,6 +18,7 @@ def make_session(cpus: str = "*") -> SparkSession:
         .appName("vayumark")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in RECOMMENDED.items():

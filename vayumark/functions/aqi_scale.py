@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,39 +31,37 @@ POLLUTANT_LABELS = {
 NO_LABEL = "–"
 
 
-def aqi_category(aqi: Column | str) -> Column:
-    """Category of an index value; null for a null index."""
-    value = F.col(aqi) if isinstance(aqi, str) else aqi
-    branches = reduce(
-        lambda chain, limit: chain.when(value <= limit[1], F.lit(limit[0])),
-        CATEGORY_LIMITS,
-        F.when(value.isNull(), F.lit(None).cast("string")),
-    )
-    return branches.otherwise(F.lit(TOP_CATEGORY))
+def _sql_array(values: tuple[str, ...]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def aqi_category(aqi: str) -> Column:
+    """Category of an index expression; null for a null index."""
+    steps = " ".join(f"WHEN {aqi} <= {top} THEN '{name}'" for name, top in CATEGORY_LIMITS)
+    return F.expr(f"CASE WHEN {aqi} IS NULL THEN NULL {steps} ELSE '{TOP_CATEGORY}' END")
+
 
+def category_ordinal(category: str) -> Column:
+    """Position of a category column on the scale, 0 to 5; null if there is none."""
+    position = f"array_position({_sql_array(CATEGORIES)}, {category})"
+    return F.expr(f"CAST(nullif({position}, 0) AS int) - 1")
 
-def category_ordinal(category: Column | str) -> Column:
-    """Position of a category on the scale, 0 to 5; null if there is none."""
-    ladder = F.array(*(F.lit(name) for name in CATEGORIES))
-    position = F.array_position(ladder, F.col(category) if isinstance(category, str) else category)
-    return F.nullif(position, F.lit(0)).cast("int") - 1
 
+def pollutant_label(pollutant: str) -> Column:
+    """Display label of a pollutant column; a dash if there is none."""
+    steps = " ".join(f"WHEN '{code}' THEN '{text}'" for code, text in POLLUTANT_LABELS.items())
+    return F.expr(f"CASE {pollutant} {steps} ELSE '{NO_LABEL}' END")
 
-def pollutant_label(pollutant: Column | str) -> Column:
-    """Display label of a pollutant; a dash if there is none."""
-    code = F.col(pollutant) if isinstance(pollutant, str) else pollutant
-    pairs = [F.lit(part) for item in POLLUTANT_LABELS.items() for part in item]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), code), F.lit(NO_LABEL))
 
+# position in this array is the rank among equal sub-indices, 1 the lowest
+_BY_RANK = _sql_array(tuple(reversed(DOMINANCE_ORDER)))
 
-def dominance_rank(pollutant: Column | str) -> Column:
-    """6 for the pollutant that wins ties, down to 1."""
-    code = F.col(pollutant) if isinstance(pollutant, str) else pollutant
-    ladder = F.array(*(F.lit(p) for p in reversed(DOMINANCE_ORDER)))
-    return F.array_position(ladder, code).cast("int")
 
+def top_pollutant(sub_index: str, pollutant: str) -> Column:
+    """Aggregate: the pollutant of the highest sub-index, ties by dominance.
 
-def pollutant_of_rank(rank: Column) -> Column:
-    """Inverse of `dominance_rank`."""
-    ladder = F.array(*(F.lit(p) for p in reversed(DOMINANCE_ORDER)))
-    return F.try_element_at(ladder, rank)
+    Index and rank are packed into one integer, so the aggregation keeps a
+    fixed-width buffer and stays a hash aggregation.
+    """
+    packed = f"max({sub_index} * 10 + CAST(array_position({_BY_RANK}, {pollutant}) AS int))"
+    return F.expr(f"try_element_at({_BY_RANK}, {packed} % 10)")

@@ -10,28 +10,30 @@ from pyspark.sql import functions as F
 MEAN_DECIMALS = 9
 
 
-def stable_mean(value: Column | str) -> Column:
+def stable_mean(value: str) -> Column:
     """Mean without the last-bit noise of floating-point summation.
 
     A shuffle delivers partial sums in any order, so two runs over the same rows
     may differ in the last bits of ``avg``; a later rounding to one decimal would
     turn that into a visible difference. Snapping to nine decimals removes it.
     """
-    return F.round(F.avg(value), MEAN_DECIMALS)
+    return F.expr(f"round(avg({value}), {MEAN_DECIMALS})")
 
 
-def half_up(value: Column | str, decimals: int) -> Column:
-    """Round half away from zero to ``decimals`` places, scaling in binary.
+def half_up(value: str, decimals: int) -> Column:
+    """Round a column half away from zero to ``decimals`` places, scaling in binary.
 
-    ``F.round`` works on the shortest decimal text of a double, which disagrees
+    ``round`` works on the shortest decimal text of a double, which disagrees
     with engines that scale and round; this form agrees with them.
     """
-    x = F.col(value) if isinstance(value, str) else value
     scale = float(10**decimals)
-    magnitude = F.floor(F.abs(x) * scale + 0.5) / scale
-    return F.when(F.isnan(x), x).when(x < 0, -magnitude).otherwise(magnitude)
+    magnitude = f"floor(abs({value}) * {scale}D + 0.5D) / {scale}D"
+    return F.expr(
+        f"CASE WHEN isnan({value}) THEN {value} "
+        f"WHEN {value} < 0 THEN -({magnitude}) ELSE {magnitude} END"
+    )
 
 
-def half_even(value: Column | str) -> Column:
-    """Banker's rounding to an integer."""
-    return F.bround(value, 0).cast("int")
+def half_even(value: str) -> Column:
+    """Banker's rounding of an expression to an integer."""
+    return F.expr(f"CAST(bround({value}, 0) AS int)")

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import aqi_category, half_up
-from ..functions.aqi_scale import TOP_CATEGORY, dominance_rank, pollutant_of_rank
+from ..functions.aqi_scale import TOP_CATEGORY, top_pollutant
 from ..schemas import FACT, POLLUTANTS
 from .daily import DAY_KEY, MEAN_POLLUTANTS
 
@@ -31,15 +31,13 @@ DISPLAY = {
 }
 
 
-def _unpivot(daily: DataFrame, min_hours: int) -> Column:
-    def entry(p: str) -> Column:
-        value = F.col(VALUE_COLUMN[p])
-        covered = F.col(f"{p}_hours") >= min_hours if p in MEAN_POLLUTANTS else value.isNotNull()
-        return F.struct(
-            F.lit(p).alias("pollutant"), value.alias("value"), covered.alias("is_valid")
-        )
+def _unpivot(min_hours: int) -> Column:
+    def entry(p: str) -> str:
+        value = VALUE_COLUMN[p]
+        covered = f"{p}_hours >= {min_hours}" if p in MEAN_POLLUTANTS else f"{value} IS NOT NULL"
+        return f"struct('{p}' AS pollutant, {value} AS value, {covered} AS is_valid)"
 
-    return F.inline(F.array(*(entry(p) for p in POLLUTANTS)))
+    return F.expr(f"inline(array({', '.join(entry(p) for p in POLLUTANTS)}))")
 
 
 def unpivot_pollutants(daily: DataFrame, min_hours: int = MIN_HOURS) -> DataFrame:
@@ -48,25 +46,22 @@ def unpivot_pollutants(daily: DataFrame, min_hours: int = MIN_HOURS) -> DataFram
     Generated from the row itself: one pass, and the partitioning of ``daily``
     survives, unlike with a union of six projections.
     """
-    return daily.select(*DAY_KEY, _unpivot(daily, min_hours))
+    return daily.select(*DAY_KEY, _unpivot(min_hours))
 
 
 def _place_in_band(values: DataFrame, breakpoints: DataFrame, how: str) -> DataFrame:
     """Band join and interpolation. The band table is fixed and small; the planner
     broadcasts it by its known size."""
-    v, b = values.alias("v"), breakpoints.alias("b")
-    value = F.col("v.value")
-    in_band = (
-        F.col("v.is_valid")
-        & (F.col("v.pollutant") == F.col("b.pollutant"))
-        & (value >= F.col("b.conc_low"))
-        & ((value < F.col("b.conc_high")) | (F.col("b.category") == TOP_CATEGORY))
+    in_band = F.expr(
+        "v.is_valid AND v.pollutant = b.pollutant AND v.value >= b.conc_low "
+        f"AND (v.value < b.conc_high OR b.category = '{TOP_CATEGORY}')"
     )
-    capped = F.least(value, F.col("b.conc_high"))
-    interpolated = F.col("b.index_low") + (capped - F.col("b.conc_low")) * (
-        F.col("b.index_high") - F.col("b.index_low")
-    ) / (F.col("b.conc_high") - F.col("b.conc_low"))
-    return v.join(b, in_band, how).select("v.*", F.round(interpolated).cast("int").alias("sub_index"))
+    interpolated = F.expr(
+        "CAST(round(b.index_low + (least(v.value, b.conc_high) - b.conc_low)"
+        " * (b.index_high - b.index_low) / (b.conc_high - b.conc_low)) AS int)"
+    )
+    joined = values.alias("v").join(breakpoints.alias("b"), in_band, how)
+    return joined.select("v.*", interpolated.alias("sub_index"))
 
 
 def sub_indices(values: DataFrame, breakpoints: DataFrame) -> DataFrame:
@@ -80,23 +75,16 @@ def sub_indices(values: DataFrame, breakpoints: DataFrame) -> DataFrame:
 
 
 def _roll_up() -> list[Column]:
-    """Daily roll-up of sub-indices; rows without one do not count.
-
-    The dominant pollutant is packed below the sub-index as one integer, so that
-    ties resolve by rank and the aggregation stays in fixed-width hash buffers.
-    """
-    present = F.col("sub_index").isNotNull()
+    """Daily roll-up of sub-indices; rows without one do not count."""
     return [
         F.max("sub_index").alias("max_sub_index"),
-        pollutant_of_rank(
-            F.max(F.col("sub_index") * 10 + dominance_rank("pollutant")) % 10
-        ).alias("top_pollutant"),
+        top_pollutant("sub_index", "pollutant").alias("top_pollutant"),
         F.count("sub_index").alias("pollutants_used"),
-        F.max(F.when(present, F.col("pollutant").isin(*PARTICULATES).cast("int"))).alias(
-            "has_particulates"
-        ),
+        F.expr(
+            f"max(CASE WHEN sub_index IS NOT NULL THEN CAST(pollutant IN {PARTICULATES} AS int) END)"
+        ).alias("has_particulates"),
         *(
-            F.max(F.when(F.col("pollutant") == p, F.col("sub_index"))).alias(f"{p}_sub_index")
+            F.expr(f"max(CASE WHEN pollutant = '{p}' THEN sub_index END)").alias(f"{p}_sub_index")
             for p in POLLUTANTS
         ),
     ]
@@ -109,14 +97,12 @@ def per_day(sub: DataFrame) -> DataFrame:
 
 def is_valid_aqi(min_pollutants: int = MIN_POLLUTANTS) -> Column:
     """Are there enough pollutants, a particulate among them?"""
-    return (F.coalesce("pollutants_used", F.lit(0)) >= min_pollutants) & (
-        F.col("has_particulates") == 1
-    )
+    return F.expr(f"coalesce(pollutants_used, 0) >= {min_pollutants} AND has_particulates = 1")
 
 
 def day_id() -> Column:
     """Surrogate key ``city|yyyy-mm-dd``; null if either part is."""
-    return F.concat("city_id", F.lit("|"), F.col("observed_date").cast("string"))
+    return F.expr("concat(city_id, '|', CAST(observed_date AS string))")
 
 
 def score_days(
@@ -133,12 +119,12 @@ def score_days(
     needed; every day is kept because unusable values keep their row.
     """
     carried = [c for c in daily.columns if c not in DAY_KEY]
-    placed = _place_in_band(daily.select("*", _unpivot(daily, min_hours)), breakpoints, "left")
+    placed = _place_in_band(daily.select("*", _unpivot(min_hours)), breakpoints, "left")
     scored = (
         placed.groupBy(*DAY_KEY)
         .agg(*_roll_up(), *(F.first(c).alias(c) for c in carried))
         .withColumn("is_aqi_valid", is_valid_aqi(min_pollutants))
-        .withColumn("aqi", F.when(F.col("is_aqi_valid"), F.col("max_sub_index")))
+        .withColumn("aqi", F.expr("CASE WHEN is_aqi_valid THEN max_sub_index END"))
     )
     return scored.select(
         day_id().alias("daily_aqi_id"),
@@ -148,7 +134,7 @@ def score_days(
         "is_aqi_valid",
         "aqi",
         aqi_category("aqi").alias("aqi_category"),
-        F.when(F.col("is_aqi_valid"), F.col("top_pollutant")).alias("dominant_pollutant"),
+        F.expr("CASE WHEN is_aqi_valid THEN top_pollutant END").alias("dominant_pollutant"),
         *(f"{p}_sub_index" for p in POLLUTANTS),
         *(half_up(c, places).alias(name) for name, (c, places) in DISPLAY.items()),
     )

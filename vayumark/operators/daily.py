@@ -26,7 +26,7 @@ def _mean_columns() -> list[Column]:
 
 def _rolling_max_columns(min_hours: int) -> list[Column]:
     return [
-        F.round(F.max(F.when(F.col(f"{p}_8h_hours") >= min_hours, F.col(f"{p}_8h_avg"))), 9).alias(
+        F.expr(f"round(max(CASE WHEN {p}_8h_hours >= {min_hours} THEN {p}_8h_avg END), 9)").alias(
             f"{p}_8h_max"
         )
         for p in WINDOW_COLUMNS

@@ -119,8 +119,8 @@ def shift_groups(
         *by,
         F.col("group_date").cast("string").alias("group_date"),
         "shifts",
-        half_even(F.col("before_sum") / F.col("shifts")).alias("before"),
-        half_even(F.col("after_sum") / F.col("shifts")).alias("after"),
+        half_even("before_sum / shifts").alias("before"),
+        half_even("after_sum / shifts").alias("after"),
         F.when(F.col("shifts") >= COMMON_CAUSE_SHIFTS, COMMON_CAUSE)
         .otherwise(SINGLE_CAUSE)
         .alias("likely_cause"),

@@ -13,6 +13,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call sites for error messages cost several driver round trips per column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

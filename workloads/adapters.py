@@ -35,17 +35,20 @@ def raw_hourly(spark: SparkSession, sf_dir: str, city: str = STATION) -> DataFra
     The mean is taken over whole hundredths, so it does not depend on the order
     of summation. Partial aggregation keeps a busy city from becoming a hot spot.
     """
-    hundredths = F.round(F.col("value") * 100).cast("bigint")
     readings = [
-        (F.floor(F.avg(F.when(F.col("event_type") == kind, hundredths)) + 0.5) / 100).alias(name)
+        F.expr(
+            f"floor(avg(CASE WHEN event_type = '{kind}' THEN CAST(round(value * 100) AS bigint) END)"
+            f" + 0.5D) / 100 AS {name}"
+        )
         for kind, name in EVENT_POLLUTANT.items()
     ]
     return (
         table(spark, sf_dir, "events")
         .groupBy(F.expr(city).alias("city_id"), hour_start("ts").alias("observed_at"))
-        .agg(*readings, F.max("ts").cast("timestamp").alias("ingested_at"))
-        .withColumns({"co": F.col("o3") * CO_PER_O3, "source": F.lit("events"), "run_id": F.lit("r1")})
-        .select(*RAW.names)
+        .agg(*readings, F.expr("CAST(max(ts) AS timestamp) AS ingested_at"))
+        .selectExpr(
+            *RAW.names[:7], f"o3 * {CO_PER_O3} AS co", "'events' AS source", "ingested_at", "'r1' AS run_id"
+        )
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vayumark.functions import aqi_category, day_of
+from vayumark.functions import aqi_category, category_ordinal, day_of
 from vayumark.operators import aqi, daily, marts, quality, rolling, staging, upsert
 from vayumark.operators import payloads as contract
 from vayumark.operators.quality import RowCheck, TableCheck
@@ -213,13 +213,10 @@ def aqi_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def category_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapters.order_series(spark, sf_dir).select(
-        "city_id",
-        "observed_date",
-        "aqi",
-        aqi_category("aqi").alias("aqi_category"),
-        report.category_ordinal(aqi_category("aqi")).alias("category_ordinal"),
+    labelled = adapters.order_series(spark, sf_dir).select(
+        "city_id", "observed_date", "aqi", aqi_category("aqi").alias("aqi_category")
     )
+    return labelled.withColumn("category_ordinal", category_ordinal("aqi_category"))
 
 
 @query
@@ -400,7 +397,7 @@ def mislabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
         "city_id",
         "observed_date",
         "aqi",
-        aqi_category(F.col("aqi") + 10).alias("aqi_category"),
+        aqi_category("(aqi + 10)").alias("aqi_category"),
     )
 
 
