@@ -1,0 +1,93 @@
+"""Every check with a passing and a failing input."""
+
+from datetime import date, datetime
+
+import pytest
+
+from vayumark.operators import quality as q
+from vayumark.plans.report import health_panel
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.createDataFrame(
+        [("a", 1, "up"), ("b", 5, "down"), ("b", 9, "left"), (None, None, None)],
+        "k string, v int, w string",
+    )
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_not_null(table):
+    assert q.check_not_null(table, "k").count() == 1
+    assert q.check_not_null(table.filter("k = 'a'"), "k").isEmpty()
+
+
+def test_range_lets_null_pass(table):
+    assert [r.v for r in q.check_range(table, "v", 1, 5).collect()] == [9]
+    assert q.check_range(table, "v", 1, 9).isEmpty()
+
+
+def test_accepted_lets_null_pass(table):
+    assert [r.w for r in q.check_accepted(table, "w", ["up", "down"]).collect()] == ["left"]
+    assert q.check_accepted(table, "w", ["up", "down", "left"]).isEmpty()
+
+
+def test_unique_ignores_null(table):
+    assert rows(q.check_unique(table, "k")) == [("b", 2)]
+    assert q.check_unique(table.unionByName(table.filter("k IS NULL")), "v").isEmpty()
+    assert rows(q.check_unique_combination(table, ["k"])) == [("b", 2)]
+    assert q.check_unique_combination(table, ["k", "v"]).isEmpty()
+    assert q.check_unique_combination(table.union(table), ["k", "v"]).count() == 4
+
+
+def test_relationships(spark, table):
+    parent = spark.createDataFrame([("a",)], "id string")
+    assert rows(q.check_relationships(table, parent, "k", "id")) == [("b", 2)]
+    assert q.check_relationships(table.filter("k = 'a'"), parent, "k", "id").isEmpty()
+
+
+def test_category_and_future(spark):
+    fact = spark.createDataFrame(
+        [
+            ("a", date(2025, 1, 1), 50, "Good"),
+            ("b", date(2025, 1, 2), 51, "Good"),
+            ("c", date(2025, 1, 3), None, None),
+        ],
+        "daily_aqi_id string, observed_date date, aqi int, aqi_category string",
+    )
+    assert [r.daily_aqi_id for r in q.check_category(fact).collect()] == ["b"]
+    assert [r.daily_aqi_id for r in q.check_no_future(fact, date(2025, 1, 2)).collect()] == ["c"]
+    assert q.check_no_future(fact).isEmpty()
+
+
+@pytest.mark.parametrize(
+    ("hours", "status"), [(29, "pass"), (30, "pass"), (31, "warn"), (54, "warn"), (55, "error")]
+)
+def test_freshness(spark, hours, status):
+    raw = spark.sql("SELECT TIMESTAMP '2025-01-01 00:00:00 UTC' AS ingested_at")
+    now = datetime(2025, 1, 1 + hours // 24, hours % 24)
+    assert q.freshness(raw, now).first().status == status
+
+
+def test_no_data_is_an_error(spark):
+    empty = spark.createDataFrame([], "ingested_at timestamp")
+    assert q.freshness(empty, datetime(2025, 1, 1)).first().status == "error"
+
+
+def test_results_and_health(spark, table):
+    results = q.check_results(
+        {"t": (table, [q.RowCheck("k", q.is_missing("k")), q.RowCheck("v", q.out_of_range("v", 0, 99))])},
+        {"u": [q.TableCheck("unique", q.check_unique(table, "k"))]},
+    )
+    assert rows(results) == [
+        ("t", "k", 1, "fail"),
+        ("t", "v", 0, "pass"),
+        ("u", "unique", 1, "fail"),
+    ]
+    raw = spark.sql("SELECT TIMESTAMP '2025-01-01 00:00:00 UTC' AS ingested_at")
+    panel = health_panel(results, raw, datetime(2025, 1, 1, 1)).first()
+    assert (panel.tests_total, panel.tests_passed, panel.models) == (3, 1, 2)
+    assert (panel.failed, panel.freshness) == ("k, unique", "pass")
