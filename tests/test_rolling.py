@@ -55,6 +55,15 @@ def test_window_is_open_at_its_start_and_crosses_midnight(spark):
     assert got["c", START + timedelta(hours=31)] == (27.5, 2)
 
 
+def test_a_value_that_is_not_finite_stays_in_its_windows(spark):
+    rows = [("c", START + timedelta(hours=h), float("nan") if h == 2 else 1.0) for h in range(20)]
+    got = windowed(spark, rows, 8)
+    for h in range(20):
+        mean, n = got["c", START + timedelta(hours=h)]
+        assert n == min(h + 1, 8)
+        assert (mean != mean) if 2 <= h < 10 else mean == 1.0
+
+
 def test_session_zone_does_not_matter(spark):
     """In this zone the hour 02:00-03:00 of 30 March does not exist."""
     rows = [("c", START + timedelta(hours=h), float(h)) for h in range(48)]

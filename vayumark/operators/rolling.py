@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from ..functions import day_of
 
 
+def _in_window(aggregate: str, upto_now: str, before: str) -> str:
+    """An additive aggregate over the window: everything so far minus what left it."""
+    return f"({aggregate} over {upto_now} - coalesce({aggregate} over {before}, 0))"
+
+
 def rolling_mean(
     df: DataFrame,
     keys: Sequence[str],
@@ -23,25 +28,39 @@ def rolling_mean(
     ``columns`` maps an output prefix to an input column; results are named
     ``<prefix>_<hours>h_avg`` and ``<prefix>_<hours>h_hours``.
 
-    The window is a range frame, so gaps are exact without a self-join. It is
-    partitioned by key *and* day: each row is also handed to the following days
-    it is still visible in, where it serves as context only. One key with a long
-    history is thereby spread over as many partitions as it has days. Output
-    rows carry their day in ``day`` and stay partitioned by keys and day, so a
-    daily aggregation needs no further shuffle.
+    Range frames make gaps exact without a self-join. They are partitioned by
+    key *and* day: each row is also handed to the following days it is still
+    visible in, where it serves as context only. One key with a long history is
+    thereby spread over as many partitions as it has days. Output rows carry
+    their day in ``day`` and stay partitioned by keys and day, so a daily
+    aggregation needs no further shuffle.
+
+    A frame that slides at both ends is summed anew for every row. Here both
+    frames only grow, so the work is linear in the rows however many of them
+    fall into one window. Values that are not finite are counted apart: they
+    turn the windows that hold them into NaN and no others.
     """
-    visible_until = F.col(ts) + F.expr(
-        f"make_dt_interval(0, {hours}, 0, 0) - interval '0.000001' second"
+    visible_until = F.expr(
+        f"{ts} + interval '{hours}' hour - interval '0.000001' second"
     )
     spread = df.withColumn(
         day, F.explode_outer(F.sequence(day_of(ts), visible_until.cast("date")))
     )
-    frame = (
-        f"(partition by {', '.join([*keys, day])} order by {ts} range between "
-        f"interval '{hours - 1}:59:59.999999' hour to second preceding and current row)"
+    window = f"partition by {', '.join([*keys, day])} order by {ts} range between unbounded preceding"
+    frames = (
+        f"({window} and current row)",
+        f"({window} and interval '{hours}' hour preceding)",
     )
-    windows = {}
+    totals, results = {}, {}
     for prefix, column in columns.items():
-        windows[f"{prefix}_{hours}h_avg"] = F.expr(f"avg({column}) over {frame}")
-        windows[f"{prefix}_{hours}h_hours"] = F.expr(f"count({column}) over {frame}")
-    return spread.withColumns(windows).filter(F.col(day).eqNullSafe(day_of(ts)))
+        value = f"CAST({column} AS double)"
+        odd = f"(isnan({value}) OR abs({value}) = double('Infinity'))"
+        count, total, strange = f"{prefix}_{hours}h_hours", f"_{prefix}_sum", f"_{prefix}_odd"
+        totals[count] = F.expr(_in_window(f"count({column})", *frames))
+        totals[total] = F.expr(_in_window(f"sum(CASE WHEN NOT {odd} THEN {value} END)", *frames))
+        totals[strange] = F.expr(_in_window(f"count_if({odd})", *frames))
+        results[f"{prefix}_{hours}h_avg"] = F.expr(
+            f"CASE WHEN {strange} > 0 THEN double('NaN') WHEN {count} > 0 THEN {total} / {count} END"
+        )
+    own_day = spread.withColumns(totals).filter(F.col(day).eqNullSafe(day_of(ts)))
+    return own_day.withColumns(results).drop(*(c for c in totals if c.startswith("_")))
