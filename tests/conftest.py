@@ -16,7 +16,7 @@ def make_session(cpus: str = "*") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("vayumark")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")

@@ -52,16 +52,23 @@ def unpivot_pollutants(daily: DataFrame, min_hours: int = MIN_HOURS) -> DataFram
 def _place_in_band(values: DataFrame, breakpoints: DataFrame, how: str) -> DataFrame:
     """Band join and interpolation. The band table is fixed and small; the planner
     broadcasts it by its known size."""
+    bands = breakpoints.selectExpr(
+        "pollutant AS band_of",
+        "conc_low AS starts",
+        "conc_high AS ends",
+        "conc_high - conc_low AS width",
+        "index_low AS base",
+        "index_high - index_low AS rise",
+        f"category = '{TOP_CATEGORY}' AS is_top",
+    )
     in_band = F.expr(
-        "v.is_valid AND v.pollutant = b.pollutant AND v.value >= b.conc_low "
-        f"AND (v.value < b.conc_high OR b.category = '{TOP_CATEGORY}')"
+        "is_valid AND pollutant = band_of AND value >= starts AND (is_top OR value < ends)"
     )
-    interpolated = F.expr(
-        "CAST(round(b.index_low + (least(v.value, b.conc_high) - b.conc_low)"
-        " * (b.index_high - b.index_low) / (b.conc_high - b.conc_low)) AS int)"
+    within = "(least(value, ends) - starts)"
+    placed = values.join(bands, in_band, how)
+    return placed.select(
+        *values.columns, F.expr(f"CAST(round(base + {within} * rise / width) AS int) AS sub_index")
     )
-    joined = values.alias("v").join(breakpoints.alias("b"), in_band, how)
-    return joined.select("v.*", interpolated.alias("sub_index"))
 
 
 def sub_indices(values: DataFrame, breakpoints: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ POOR_ABOVE = 200
 SHIFT_GAP_DAYS = 3
 # from this many shifts on, the data source is the likely cause
 COMMON_CAUSE_SHIFTS = 3
+# Texts shown with a group, and the source name of made-up rows.
 COMMON_CAUSE = "Several cities at once: probably a data-source change"
 SINGLE_CAUSE = "Single city: could be real (season, local event) or data"
 SYNTHETIC_SOURCE = "synthetic_sample"
