@@ -4,11 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from vayumark.operators.upsert import align_schema, conform, upsert_counts, upsert_latest
-from vayumark.plans.landing import land, merge_into_lake, require_finished
+from vayumark.plans.landing import land, merge_into_lake, require_finished, stamp_lineage
 from vayumark.schemas import RAW
 from vayumark.sources import (
     last_finished_days,
-    only_finished_days,
+    finished_days_only,
     raw_file_count,
     read_days,
     read_raw,
@@ -108,7 +108,7 @@ def test_align_schema_appends_and_fills(spark):
 def test_finished_days_follow_the_local_clock(spark):
     days = spark.createDataFrame([(date(2025, 1, d),) for d in range(1, 11)], "date date")
     evening = datetime(2025, 1, 8, 19, 0)  # 00:30 on the 9th in India
-    got = [r.date.day for r in only_finished_days(days, now=evening).collect()]
+    got = [r.date.day for r in finished_days_only(days, now=evening).collect()]
     assert got == list(range(1, 9))
     assert [r.date.day for r in last_finished_days(days, 3, now=evening).collect()] == [6, 7, 8]
     require_finished(date(2025, 1, 8), spark, evening)
@@ -117,6 +117,21 @@ def test_finished_days_follow_the_local_clock(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        assert only_finished_days(days, now=evening).count() == 8
+        assert finished_days_only(days, now=evening).count() == 8
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_lineage_is_in_utc_and_whole_seconds(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        at = datetime(2025, 1, 8, 19, 0, 5, 999)
+        row = (
+            stamp_lineage(spark.range(1), "api", now=at)
+            .selectExpr("source", "run_id", "unix_micros(ingested_at) % 1000000 AS micros")
+            .first()
+        )
+        assert tuple(row) == ("api", "20250108T190005Z", 0)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)

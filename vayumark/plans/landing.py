@@ -17,7 +17,7 @@ from ..operators.payloads import flatten_payload, split_valid
 from ..operators.upsert import conform, upsert_latest
 from ..schemas import RAW
 from ..session import stage
-from ..sources.lake import lake_days, only_finished_days, table_exists
+from ..sources.lake import finished_days_only, lake_days, table_exists
 
 SLICE = ["date", "city_id"]
 
@@ -27,7 +27,8 @@ def stamp_lineage(
 ) -> DataFrame:
     """Record on each row where it came from, when and in which run."""
     loaded = whole_second_now(now)
-    run = F.lit(run_id) if run_id else F.date_format(loaded, "yyyyMMdd'T'HHmmss'Z'")
+    utc = F.convert_timezone(None, F.lit("UTC"), loaded)
+    run = F.lit(run_id) if run_id else F.date_format(utc, "yyyyMMdd'T'HHmmss'Z'")
     return df.withColumns(
         {"source": F.lit(source), "ingested_at": loaded, "run_id": run}
     )
@@ -96,7 +97,7 @@ def merge_into_lake(df: DataFrame, lake: str) -> None:
 def require_finished(end: date, spark: SparkSession, now: datetime | None = None) -> None:
     """Refuse a range that ends on a day which is not over yet."""
     day = spark.range(1).select(F.lit(end).alias("date"))
-    if only_finished_days(day, now=now).isEmpty():
+    if finished_days_only(day, now=now).isEmpty():
         raise ValueError(f"{end} is not a finished day yet")
 
 

@@ -1,12 +1,19 @@
 """Reading payloads, the lake and the lookup tables."""
 
-from .lake import last_finished_days, only_finished_days, raw_file_count, read_days, read_raw, table_exists
+from .lake import (
+    finished_days_only,
+    last_finished_days,
+    raw_file_count,
+    read_days,
+    read_raw,
+    table_exists,
+)
 from .lookups import read_breakpoints, read_cities
 from .payloads import read_payloads
 
 __all__ = [
     "last_finished_days",
-    "only_finished_days",
+    "finished_days_only",
     "raw_file_count",
     "read_breakpoints",
     "read_cities",

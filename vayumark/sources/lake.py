@@ -47,7 +47,7 @@ def read_days(spark: SparkSession, lake: str, days: Iterable[date]) -> DataFrame
     return lake_days(spark, lake).filter(F.col("date").isin(wanted)).drop("date")
 
 
-def only_finished_days(
+def finished_days_only(
     df: DataFrame, day: str = "date", now: datetime | None = None
 ) -> DataFrame:
     """Drop days that have not ended on the cities' wall clock."""

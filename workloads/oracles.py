@@ -551,7 +551,7 @@ ORACLES = {
     "declared_checks": DECLARED_SQL,
     "finished_days_only": """
         SELECT event_id, CAST(ts AS DATE) AS date FROM events WHERE ts < TIMESTAMP '2024-01-21'""",
-    "last_finished": """
+    "last_finished_days": """
         SELECT event_id, CAST(ts AS DATE) AS date FROM events
         WHERE ts >= TIMESTAMP '2024-01-18' AND ts < TIMESTAMP '2024-01-21'""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vayumark import sources
 from vayumark.functions import aqi_category, category_ordinal, day_of
 from vayumark.operators import aqi, daily, marts, quality, rolling, staging, upsert
 from vayumark.operators import payloads as contract
@@ -16,16 +17,6 @@ from vayumark.operators.quality import RowCheck, TableCheck
 from vayumark.plans import audit, build, landing, report
 from vayumark.schemas import FACT, RAW
 from vayumark.session import scratch_path, stage
-from vayumark.sources import (
-    last_finished_days,
-    only_finished_days,
-    raw_file_count,
-    read_breakpoints,
-    read_days,
-    read_payloads,
-    read_raw,
-)
-
 from . import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +40,7 @@ def hourly(spark: SparkSession, sf_dir: str, city: str = adapters.STATION) -> Da
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aqi.daily_aqi(daily.pollutant_daily(hourly(spark, sf_dir)), read_breakpoints(spark))
+    return aqi.daily_aqi(daily.pollutant_daily(hourly(spark, sf_dir)), sources.read_breakpoints(spark))
 
 
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +122,7 @@ def payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     adapters.payloads(spark, sf_dir).write.option(
         "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm"
     ).json(path)
-    good, _ = contract.split_valid(read_payloads(spark, path, multi_line=False))
+    good, _ = contract.split_valid(sources.read_payloads(spark, path, multi_line=False))
     return contract.flatten_payload(good)
 
 
@@ -191,7 +182,7 @@ def unpivot_pollutants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sub_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = aqi.unpivot_pollutants(daily.pollutant_daily(hourly(spark, sf_dir)))
-    return aqi.sub_indices(values, read_breakpoints(spark))
+    return aqi.sub_indices(values, sources.read_breakpoints(spark))
 
 
 @query
@@ -228,9 +219,9 @@ def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrong = F.when(day >= date(2024, 1, 19), F.col("pm2_5") / 2).otherwise(F.col("pm2_5"))
     early = readings.filter(day <= date(2024, 1, 20)).withColumn("pm2_5", wrong)
     landing.land(early, lake)
-    build.build_fact(spark, lake, path, read_breakpoints(spark))
+    build.build_fact(spark, lake, path, sources.read_breakpoints(spark))
     landing.land(readings.filter(day >= date(2024, 1, 19)), lake)
-    build.build_fact(spark, lake, path, read_breakpoints(spark))
+    build.build_fact(spark, lake, path, sources.read_breakpoints(spark))
     return compared(build.read_fact(spark, path))
 
 
@@ -241,9 +232,9 @@ def backfill_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = adapters.raw_hourly(spark, sf_dir)
     second_half = day_of("observed_at") >= date(2024, 1, 16)
     landing.land(readings.filter(second_half), lake)
-    build.build_fact(spark, lake, path, read_breakpoints(spark))
+    build.build_fact(spark, lake, path, sources.read_breakpoints(spark))
     landing.land(readings.filter(~second_half), lake)
-    build.build_fact(spark, lake, path, read_breakpoints(spark), full_refresh=True)
+    build.build_fact(spark, lake, path, sources.read_breakpoints(spark), full_refresh=True)
     return compared(build.read_fact(spark, path))
 
 
@@ -474,7 +465,7 @@ def land_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = (F.col("city_id") == "st1") & (day_of("observed_at") >= date(2024, 1, 25))
     again = readings.filter(late).withColumns({"pm10": F.col("pm10") + 1, "run_id": F.lit("r2")})
     landing.land(again, lake)
-    return read_raw(spark, lake).select("city_id", "observed_at", "pm2_5", "pm10", "run_id")
+    return sources.read_raw(spark, lake).select("city_id", "observed_at", "pm2_5", "pm10", "run_id")
 
 
 @query
@@ -489,7 +480,7 @@ def merge_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     batch = readings.withColumns({"ingested_at": shifted, "run_id": F.lit("r2")})
     landing.merge_into_lake(batch, lake)
-    return read_raw(spark, lake).select("city_id", "observed_at", "pm2_5", "run_id")
+    return sources.read_raw(spark, lake).select("city_id", "observed_at", "pm2_5", "run_id")
 
 
 @query
@@ -497,7 +488,7 @@ def land_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads ingested: the valid ones landed, violations kept aside."""
     lake = scratch_path(spark, "lake")
     landing.ingest_payloads(adapters.payloads(spark, sf_dir), lake, "payloads", "r1")
-    return read_raw(spark, lake).drop("ingested_at")
+    return sources.read_raw(spark, lake).drop("ingested_at")
 
 
 @query
@@ -505,21 +496,21 @@ def read_lake_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_path(spark, "lake")
     landing.land(adapters.raw_hourly(spark, sf_dir), lake)
     wanted = [date(2024, 1, 5), date(2024, 1, 17), date(2025, 7, 1)]
-    return read_days(spark, lake, wanted).select("city_id", "observed_at", "pm2_5")
+    return sources.read_days(spark, lake, wanted).select("city_id", "observed_at", "pm2_5")
 
 
 @query
 def read_lake_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_path(spark, "lake")
     landing.land(adapters.raw_hourly(spark, sf_dir), lake)
-    return read_raw(spark, lake, date(2024, 1, 11)).select("city_id", "observed_at", "pm2_5")
+    return sources.read_raw(spark, lake, date(2024, 1, 11)).select("city_id", "observed_at", "pm2_5")
 
 
 @query
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_path(spark, "lake")
     landing.land(adapters.raw_hourly(spark, sf_dir), lake)
-    return raw_file_count(spark, lake)
+    return sources.raw_file_count(spark, lake)
 
 
 @query
@@ -553,7 +544,7 @@ def build_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake, fact, marts and all declared checks; the summary read back."""
     lake, root = scratch_path(spark, "lake"), scratch_path(spark, "tables")
     landing.land(adapters.raw_hourly(spark, sf_dir), lake)
-    build.build(spark, lake, root, adapters.cities(spark, sf_dir), read_breakpoints(spark))
+    build.build(spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark))
     return spark.read.parquet(f"{root}/city_summary")
 
 
@@ -563,7 +554,7 @@ def declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, root = scratch_path(spark, "lake"), scratch_path(spark, "tables")
     landing.land(adapters.raw_hourly(spark, sf_dir), lake)
     return build.build(
-        spark, lake, root, adapters.cities(spark, sf_dir), read_breakpoints(spark)
+        spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark)
     )
 
 
@@ -573,10 +564,10 @@ def declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def finished_days_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = adapters.table(spark, sf_dir, "events").withColumn("date", day_of("ts"))
-    return only_finished_days(days, now=NOW).select("event_id", "date")
+    return sources.finished_days_only(days, now=NOW).select("event_id", "date")
 
 
 @query
-def last_finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+def last_finished_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = adapters.table(spark, sf_dir, "events").withColumn("date", day_of("ts"))
-    return last_finished_days(days, 3, now=NOW).select("event_id", "date")
+    return sources.last_finished_days(days, 3, now=NOW).select("event_id", "date")
