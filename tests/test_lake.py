@@ -7,12 +7,12 @@ from vayumark.operators.upsert import align_schema, conform, upsert_counts, upse
 from vayumark.plans.landing import land, merge_into_lake, require_finished, stamp_lineage
 from vayumark.schemas import RAW
 from vayumark.sources import (
-    last_finished_days,
     finished_days_only,
+    last_finished_days,
+    open_table,
     raw_file_count,
     read_days,
     read_raw,
-    table_exists,
 )
 
 from .readings import day_rows, raw
@@ -29,7 +29,7 @@ def slices(spark, lake):
 
 def test_rows_are_split_by_day(spark, tmp_path):
     lake = str(tmp_path / "lake")
-    assert not table_exists(spark, lake)
+    assert open_table(spark, lake, RAW) is None
     land(raw(spark, day_rows(D1, range(20, 24)) + day_rows(D2, range(5))), lake)
     assert sorted(p.name for p in (tmp_path / "lake").glob("date=*")) == [
         "date=2025-11-01",

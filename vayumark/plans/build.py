@@ -19,7 +19,7 @@ from ..operators.staging import stage_hourly
 from ..operators.upsert import align_schema
 from ..schemas import FACT
 from ..session import stage
-from ..sources.lake import read_raw, table_exists
+from ..sources.lake import open_table, read_raw
 from . import audit
 from .landing import write_by_day
 
@@ -124,25 +124,27 @@ def _stored_schema(spark: SparkSession, path: str, day: date) -> T.StructType:
     return spark.read.option("mergeSchema", True).option("basePath", path).parquet(folder).schema
 
 
-def write_fact(rows: DataFrame, path: str) -> None:
+def write_fact(rows: DataFrame, path: str, stored: DataFrame | None = None) -> None:
     """Merge rows into the fact by key, keeping other keys of the touched days.
 
     Columns new to the table are appended to it. Replaced days are staged first
-    because they are read and overwritten by the same step.
+    because they are read and overwritten by the same step. ``stored`` is the
+    table at ``path`` if the caller has opened it already.
     """
     spark = rows.sparkSession
-    if not table_exists(spark, path):
+    stored = stored if stored is not None else open_table(spark, path, FACT)
+    last = None if stored is None else stored.agg(F.max("observed_date")).first()[0]
+    if last is None:
         write_by_day(rows, path, "observed_date", ["city_id"], replace_all=True)
         return
     rows = stage(rows, "fact-new")
     # the calendar bounds both the number of days and what is collected here
     days = [r[0] for r in rows.select("observed_date").distinct().collect()]
-    last = read_fact(spark, path).agg(F.max("observed_date")).first()[0]
-    stored = _stored_schema(spark, path, last) if last else rows.schema
-    merged = align_schema(rows, stored)
+    merged = align_schema(rows, _stored_schema(spark, path, last))
+    if set(merged.columns) != set(stored.columns):
+        stored = read_fact(spark, path, merged.schema)
     others = (
-        read_fact(spark, path, merged.schema)
-        .filter(F.col("observed_date").isin(days))
+        stored.filter(F.col("observed_date").isin(days))
         .join(rows.select("daily_aqi_id"), "daily_aqi_id", "left_anti")
         .select(*merged.columns)
     )
@@ -151,29 +153,21 @@ def write_fact(rows: DataFrame, path: str) -> None:
     )
 
 
-def pending_bounds(
-    spark: SparkSession,
-    path: str,
-    full_refresh: bool = False,
-    lookback: int = LOOKBACK_DAYS,
-    context: int = CONTEXT_DAYS,
-) -> Bounds | None:
-    """Bounds of an incremental run; None if everything has to be built."""
-    if full_refresh or not table_exists(spark, path):
-        return None
-    return incremental_bounds(read_fact(spark, path), lookback, context)
-
-
 def publish_fact(
-    daily: DataFrame, path: str, breakpoints: DataFrame, bounds: Bounds | None, **limits: int
+    daily: DataFrame,
+    path: str,
+    breakpoints: DataFrame,
+    fact: DataFrame | None,
+    bounds: Bounds | None,
+    **limits: int,
 ) -> None:
     """Score daily values and write them: the whole fact, or the part in bounds."""
-    if bounds is None:
-        rows = daily_aqi(daily, breakpoints, **limits)
+    if fact is None or bounds is None:
+        # overwriting deletes first, so the work is done and kept before that
+        rows = stage(daily_aqi(daily, breakpoints, **limits), "fact")
         write_by_day(rows, path, "observed_date", ["city_id"], replace_all=True)
     else:
-        fact = read_fact(daily.sparkSession, path)
-        write_fact(incremental_rows(daily, fact, breakpoints, bounds, **limits), path)
+        write_fact(incremental_rows(daily, fact, breakpoints, bounds, **limits), path, fact)
 
 
 def build_fact(
@@ -193,10 +187,11 @@ def build_fact(
     only the look-back and newer days are; days before it change only through a
     full refresh, which a back-fill therefore needs.
     """
-    bounds = pending_bounds(spark, path, full_refresh, lookback, context)
+    fact = None if full_refresh else open_table(spark, path, FACT)
+    bounds = None if fact is None else incremental_bounds(fact, lookback, context)
     first_day = bounds and bounds.read_from
     hourly = stage_hourly(raw_from(spark, lake, first_day))
-    publish_fact(daily_from(hourly, first_day), path, breakpoints, bounds, **limits)
+    publish_fact(daily_from(hourly, first_day), path, breakpoints, fact, bounds, **limits)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -253,7 +248,8 @@ def build(
     were built and are not touched.
     """
     fact_path = f"{root}/daily_aqi"
-    bounds = pending_bounds(spark, fact_path, full_refresh)
+    built = None if full_refresh else open_table(spark, fact_path, FACT)
+    bounds = None if built is None else incremental_bounds(built)
     first_day = bounds and bounds.read_from
 
     raw = raw_from(spark, lake, first_day)
@@ -264,7 +260,7 @@ def build(
     results.append(require_pass(audit.daily_checks(daily)))
     dim = materialize(marts.dim_city(cities), f"{root}/dim_city")
     results.append(require_pass(audit.dim_checks(dim)))
-    publish_fact(daily, fact_path, breakpoints, bounds)
+    publish_fact(daily, fact_path, breakpoints, built, bounds)
     fact = read_fact(spark, fact_path)
     results.append(require_pass(audit.fact_checks(fact, dim, today)))
     summary = materialize(marts.city_summary(fact, dim), f"{root}/city_summary")

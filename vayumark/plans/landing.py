@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import day_of, whole_second_now
 from ..operators.payloads import flatten_payload, split_valid
 from ..operators.upsert import conform, upsert_latest
-from ..schemas import RAW
+from ..schemas import LAKE, RAW
 from ..session import stage
-from ..sources.lake import finished_days_only, lake_days, table_exists
+from ..sources.lake import finished_days_only, open_table
 
 SLICE = ["date", "city_id"]
 
@@ -67,16 +67,12 @@ def land(df: DataFrame, lake: str) -> None:
     of the touched days are staged before their folders are overwritten, so a
     job that dies half-way loses nothing.
     """
-    spark = df.sparkSession
     batch = _with_day(df)
-    if table_exists(spark, lake):
+    landed = open_table(df.sparkSession, lake, LAKE)
+    if landed is not None:
         batch = stage(batch, "land")
-        touched = F.col("date").isin(_days_in(batch))
-        others = (
-            lake_days(spark, lake)
-            .filter(touched)
-            .join(batch.select(*SLICE).distinct(), SLICE, "left_anti")
-        )
+        touched = landed.filter(F.col("date").isin(_days_in(batch)))
+        others = touched.join(batch.select(*SLICE).distinct(), SLICE, "left_anti")
         batch = batch.unionByName(stage(others, "keep"))
     write_by_day(batch, lake, "date", ["city_id", "observed_at"])
 
@@ -85,9 +81,10 @@ def merge_into_lake(df: DataFrame, lake: str) -> None:
     """Upsert single readings: newer versions replace, unknown keys are added."""
     spark = df.sparkSession
     batch = _with_day(df)
-    if table_exists(spark, lake):
+    landed = open_table(spark, lake, LAKE)
+    if landed is not None:
         batch = stage(batch, "merge")
-        current = lake_days(spark, lake).filter(F.col("date").isin(_days_in(batch)))
+        current = landed.filter(F.col("date").isin(_days_in(batch)))
         merged = stage(upsert_latest(current, batch), "merged")
     else:
         merged = upsert_latest(spark.createDataFrame([], batch.schema), batch)

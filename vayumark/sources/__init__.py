@@ -3,10 +3,10 @@
 from .lake import (
     finished_days_only,
     last_finished_days,
+    open_table,
     raw_file_count,
     read_days,
     read_raw,
-    table_exists,
 )
 from .lookups import read_breakpoints, read_cities
 from .payloads import read_payloads
@@ -14,11 +14,11 @@ from .payloads import read_payloads
 __all__ = [
     "last_finished_days",
     "finished_days_only",
+    "open_table",
     "raw_file_count",
     "read_breakpoints",
     "read_cities",
     "read_days",
     "read_payloads",
     "read_raw",
-    "table_exists",
 ]

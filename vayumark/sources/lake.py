@@ -8,28 +8,29 @@ from datetime import date, datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import local_today
 from ..schemas import LAKE
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Is there a Parquet table at ``path``?"""
+def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if there is none yet.
+
+    The schema is given, so neither are files opened to infer it nor are folder
+    names turned into other types. Opening lists the folders, which is the main
+    cost for a long table: hand the result on instead of opening again.
+    """
     try:
-        spark.read.parquet(path).schema
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
         raise
-    return True
 
 
 def lake_days(spark: SparkSession, lake: str) -> DataFrame:
-    """The lake including its partition column ``date``.
-
-    The schema is given, so neither are files opened to infer it nor are folder
-    names turned into other types.
-    """
+    """The lake including its partition column ``date``."""
     return spark.read.schema(LAKE).parquet(lake)
 
 
