@@ -60,21 +60,22 @@ def test_one_copy_is_left_and_it_is_the_newest(raw, con):
 
 
 def test_windows_of_a_busy_city(raw, con):
-    got = rolling_8h(stage_hourly(raw[0])).select(
-        "city_id",
-        "observed_at",
-        F.coalesce(F.round("o3_8h_avg", 6), F.lit(-1)),
-        "o3_8h_hours",
-        F.round("co_8h_avg", 6),
-    )
+    columns = ["city_id", "observed_at", "o3_8h_avg", "o3_8h_hours", "co_8h_avg"]
+    got = {tuple(r)[:2]: tuple(r)[2:] for r in rolling_8h(stage_hourly(raw[0])).select(*columns).collect()}
     want = con.execute(
-        """SELECT h.city_id, h.observed_at, coalesce(round(avg(w.o3), 6), -1), count(w.o3),
-                  round(avg(w.co_mg_m3), 6)
+        """SELECT h.city_id, h.observed_at, avg(w.o3), count(w.o3), avg(w.co_mg_m3)
         FROM hourly h JOIN hourly w ON w.city_id = h.city_id
          AND w.observed_at <= h.observed_at AND w.observed_at > h.observed_at - INTERVAL 8 HOUR
         GROUP BY h.city_id, h.observed_at"""
     ).fetchall()
-    compare(got, want)
+    assert len(got) == len(want)
+    for city, hour, o3, n, co in want:
+        found = got[city, hour]
+        assert found[1] == n
+        # sums are taken in another order: equal up to the last digits
+        assert (found[0] is None) == (o3 is None)
+        assert o3 is None or abs(found[0] - o3) < 1e-9
+        assert abs(found[2] - co) < 1e-9
 
 
 def test_a_busy_city_is_spread_over_its_days(raw):

@@ -117,11 +117,10 @@ def daily_from(hourly: DataFrame, first_day: date | None) -> DataFrame:
     return daily if first_day is None else daily.filter(F.col("observed_date") >= F.lit(first_day))
 
 
-def _stored_schema(spark: SparkSession, path: str, day: date) -> T.StructType:
-    """Columns of the newest day. Every write carries the known columns on, so
-    the newest folder has them all and the rest need not be opened."""
-    folder = f"{path}/observed_date={day.isoformat()}"
-    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(folder).schema
+def _stored_schema(spark: SparkSession, path: str, days: set[date]) -> T.StructType:
+    """All columns found in the folders of the given days."""
+    folders = sorted(f"{path}/observed_date={day.isoformat()}" for day in days)
+    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders).schema
 
 
 def write_fact(rows: DataFrame, path: str, stored: DataFrame | None = None) -> None:
@@ -140,7 +139,9 @@ def write_fact(rows: DataFrame, path: str, stored: DataFrame | None = None) -> N
     rows = stage(rows, "fact-new")
     # the calendar bounds both the number of days and what is collected here
     days = [r[0] for r in rows.select("observed_date").distinct().collect()]
-    merged = align_schema(rows, _stored_schema(spark, path, last))
+    touched = stored.filter(F.col("observed_date").isin(days)).select("observed_date").distinct()
+    known = _stored_schema(spark, path, {last, *(r[0] for r in touched.collect())})
+    merged = align_schema(rows, known)
     if set(merged.columns) != set(stored.columns):
         stored = read_fact(spark, path, merged.schema)
     others = (
@@ -195,8 +196,11 @@ def build_fact(
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write a mart as a table and return the table."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Write a mart as a table and return the table.
+
+    The rows are computed and kept before the old table is deleted.
+    """
+    stage(df, "mart").write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
