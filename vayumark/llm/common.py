@@ -32,17 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed(docs: DataFrame, *columns: str) -> DataFrame:
-    """``key`` (long, not null) and ``columns`` of ``docs``.
+def keyed(rows: DataFrame, *columns, by: str = "doc_id", value: str = "text") -> DataFrame:
+    """``key`` (long, not null) and ``columns`` of ``rows``.
 
-    The key is ``doc_id`` if that tells all rows apart; else a hash of id and
-    text, so that rows with one id and different texts stay different. Rows that
-    are equal in both share a key.
+    The key is the column ``by`` if that tells all rows apart; else a hash of it
+    and ``value``, so that rows with one id and different values stay different.
+    Rows that are equal in both share a key.
     """
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
-    clash = ids.filter((F.col("n") > 1) | F.col("doc_id").isNull()).limit(1).count()
-    key = F.xxhash64("doc_id", "text") if clash else F.col("doc_id").cast("long")
-    return docs.select(key.alias("key"), *columns)
+    ids = rows.groupBy(by).agg(F.count("*").alias("n"))
+    clash = ids.filter((F.col("n") > 1) | F.col(by).isNull()).limit(1).count()
+    key = F.xxhash64(by, value) if clash else F.col(by).cast("long")
+    return rows.select(key.alias("key"), *columns)
 
 
 def components(edges: DataFrame) -> DataFrame:

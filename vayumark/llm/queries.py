@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vayumark.llm import suffix_dedup
+from vayumark.llm import embedding_dedup, simhash, suffix_dedup
 from vayumark.llm.common import table
 
 
@@ -20,5 +20,20 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_suffix_array_dedup": op1_suffix_array_dedup}
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=2)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
+}
 ORACLES: dict[str, str] = {}
