@@ -26,10 +26,10 @@ WEIGHTS = (5, 2, 1)
 
 
 def sized(docs: DataFrame, seed: str, *columns: str) -> DataFrame:
-    """``columns``, source, ``size`` (words of the text; null: 0) and ``draw``, a seeded digest of the row's id."""
+    """``columns`` as a struct ``row``, source, ``size`` (words of the text; null: 0) and ``draw``, a seeded digest of the id."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    return docs.select(*columns, "source", size.alias("size"), draw.alias("draw"))
+    return docs.select(F.struct(*columns).alias("row"), "source", size.alias("size"), draw.alias("draw"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = 3) -> DataFrame:
@@ -63,7 +63,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
 
 
 def mix(docs: DataFrame, *columns: str, weights: tuple[int, ...] = WEIGHTS, epochs: int = 3, seed: str = "mix") -> DataFrame:
-    """``columns`` of every row of ``docs`` (doc_id, text, source) with size, source_size, target and taken.
+    """``columns`` of every row of ``docs`` (doc_id, text, source) as a struct ``row``, with size, source_size, target and taken.
 
     ``taken`` counts the words that the mix takes from the row, repetitions
     included: at most ``epochs`` times its size. The taken words of a source are
@@ -100,5 +100,5 @@ def mix(docs: DataFrame, *columns: str, weights: tuple[int, ...] = WEIGHTS, epoc
         F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("slice_start") - F.col("until") + F.col("size"))
     )
     return placed.select(
-        *columns, "size", "source_size", "target", (F.col("whole") * F.col("size") + part).cast("long").alias("taken")
+        "row", "size", "source_size", "target", (F.col("whole") * F.col("size") + part).cast("long").alias("taken")
     )

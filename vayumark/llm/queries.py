@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vayumark.llm import embedding_dedup, simhash, suffix_dedup
+from vayumark.llm import embedding_dedup, mixing, quality, secrets, simhash, suffix_dedup
 from vayumark.llm.common import table
+from vayumark.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,15 +28,49 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model, "doc_id")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=2)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    findings, _ = secrets.scan(docs)
+    found = secrets.spans_by_path(docs, findings, "doc_id")
+
+    def joined(spans):
+        place = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
+        return F.array_join(F.transform(spans, place), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda x: x["rank"] < len(secrets.BASE))
+    return found.select(
+        "doc_id",
+        *(count(r.kind) for r in secrets.BASE),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), "doc_id")
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_quality_rules": op3_quality_rules,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_secret_scans": op7_secret_scans,
+    "op8_source_mixing": op8_source_mixing,
 }
-ORACLES: dict[str, str] = {}
