@@ -161,7 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model |
     kinds = dict(sample.dtypes)
     learned = (
         sample.mapInArrow(sparse, f"doc_id {kinds['doc_id']}, quality {kinds['quality']}, columns array<int>, values array<float>")
-        .groupBy(F.lit(1))
+        .withColumn("all", F.lit(1))
+        .groupBy("all")
         .applyInPandas(learn, "weights binary, offset double, slope double, shift double")
         .collect()
     )

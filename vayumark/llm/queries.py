@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vayumark.llm import embedding_dedup, mixing, quality, secrets, simhash, suffix_dedup
+from vayumark.llm import embedding_dedup, html_text, langid, mixing, packing, quality, secrets, simhash, suffix_dedup
 from vayumark.llm.common import table
 from vayumark.llm.oracles import ORACLES
 
@@ -40,6 +40,13 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op6_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     findings, _ = secrets.scan(docs)
@@ -66,11 +73,26 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"), "page_id", "url")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    marked = docs.withColumn("held_out", langid.fold(docs) == 1)
+    model = langid.train(marked.filter("not held_out"))
+    return langid.identify(marked, model, "doc_id", "held_out").drop("langs")
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_curve_packing": op6_curve_packing,
     "op7_secret_scans": op7_secret_scans,
     "op8_source_mixing": op8_source_mixing,
+    "op9_main_text": op9_main_text,
+    "op10_language_id": op10_language_id,
 }
