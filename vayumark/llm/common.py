@@ -20,11 +20,13 @@ def prepare(spark: SparkSession) -> None:
 
     A session without ``spark.checkpoint.dir`` gets a folder of its own only if
     it is local. Arrow batches are bounded by bytes, so that a batch of very
-    long texts is as large as one of short texts.
+    long texts is as large as one of short texts. Shuffle files go when the
+    execution that wrote them ends: later steps read stages, not shuffles.
     """
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="vayumark-"))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

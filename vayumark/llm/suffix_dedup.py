@@ -7,12 +7,13 @@ Equal windows have equal anchors at equal offsets, so a repeated window is found
 at its anchor, and one position in about fifty is enough.
 
 Names are made by prefix doubling: the name of the 2h bytes at i is a hash of
-the names of h bytes at i and at i + h. Ranks grow in three rounds, and each
+the names of h bytes at i and at i + h. Ranks grow in four rounds, and each
 round drops what has become unique or is past the threshold:
 
 1. core bytes at an anchor: anchors whose core occurs once are done;
 2. all windows of an anchor at once: if that string occurs twice, all of them repeat;
-3. for the rest, the single windows of one anchor of each kind.
+3. for one anchor of each other kind, the bytes that a few neighbouring windows share;
+4. the single windows of what is left.
 
 Names have 64 bits and are compared together with the names of the rounds before.
 """
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from vayumark.llm.common import keyed, stage
 
 CHUNK = 1 << 18
+#: Neighbouring windows that are told apart in the last round only.
+CELL = 13
 TABLE = np.random.default_rng(20_240_229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ODD1, ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -122,12 +125,17 @@ def find_anchors(length: int, core: int):
     return run
 
 
-def single_windows(length: int, core: int):
-    """Every window of the listed anchors of each text."""
+def listed_windows(length: int, core: int):
+    """Windows of the listed anchors of each text, ``CELL`` neighbouring places to a row.
+
+    ``cell`` names the bytes that the windows of a full row have in common.
+    """
 
     def run(batches):
         half = 1 << (length.bit_length() - 1)
         rest = length - half
+        width = min(CELL, rest + 1)
+        common = length - width + 1
         for batch in batches:
             keys, listed = batch.column("key").to_numpy(), batch.column("anchors")
             for rows, parts in chunks(batch):
@@ -138,15 +146,25 @@ def single_windows(length: int, core: int):
                     names = doubled(data, (core, half))
                     which = np.repeat(np.arange(len(at)), n + 1)
                     start = lo[which] + np.arange(len(which)) - np.repeat(np.cumsum(n + 1) - (n + 1), n + 1)
+                    anchor = (lo + off)[which]
+                    cell = (anchor - start) // width
+                    first = np.flatnonzero(np.diff(which, prepend=-1) | np.diff(cell, prepend=-1))
+                    low = anchor[first] - cell[first] * width
+                    name = pair(names[half][low], names[half][low + common - half])
+                    name = pair(name, cell[first].astype(np.uint64))
+                    windows = pair(names[half][start], names[half][start + rest]).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(names[core][(lo + off)[which]].view(np.int64)),
-                            pa.array(pair(names[half][start], names[half][start + rest]).view(np.int64)),
-                            pa.array(np.full(len(start), keys[row])),
-                            pa.array(start),
-                            pa.array(alone[which] == 1),
+                            pa.array(names[core][anchor[first]].view(np.int64)),
+                            pa.array(name.view(np.int64)),
+                            pa.array(np.full(len(first), keys[row])),
+                            pa.array(start[first]),
+                            pa.array(alone[which[first]] == 1),
+                            pa.ListArray.from_arrays(
+                                pa.array(np.append(first, len(start)), pa.int32()), pa.array(windows)
+                            ),
                         ],
-                        names=["core", "window", "key", "start", "alone"],
+                        names=["core", "cell", "key", "start", "alone", "windows"],
                     )
 
     return run
@@ -190,8 +208,11 @@ def repeated_ranges(rows: DataFrame, length: int, core: int) -> DataFrame:
     kinds = stage(
         hits.groupBy("core", "span").agg(F.count("*").alias("n"), F.min(F.struct("key", "at")).alias("one")), "kinds"
     )
-    whole = hits.join(kinds.filter("n > 1").select("core", "span"), ["core", "span"]).select(
-        "key", F.expr("shiftleft(shiftright(at, 24), 16) | (at & 4095)").alias("range")
+    whole = stage(
+        hits.join(kinds.filter("n > 1").select("core", "span"), ["core", "span"]).select(
+            "key", F.expr("shiftleft(shiftright(at, 24), 16) | (at & 4095)").alias("range")
+        ),
+        "ranges",
     )
 
     mixed = kinds.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
@@ -201,15 +222,28 @@ def repeated_ranges(rows: DataFrame, length: int, core: int) -> DataFrame:
         .groupBy("key")
         .agg(F.collect_list("mark").alias("anchors"))
     )
-    windows = stage(
+    cells = stage(
         rows.select("key", "text")
         .join(wanted, "key")
-        .mapInArrow(single_windows(length, core), "core long, window long, key long, start long, alone boolean"),
+        .mapInArrow(
+            listed_windows(length, core),
+            "core long, cell long, key long, start long, alone boolean, windows array<long>",
+        ),
+        "cells",
+    )
+    shared = cells.groupBy("core", "cell").agg(F.count("*").alias("n")).filter("n > 1").select("core", "cell")
+    windows = stage(
+        cells.join(shared, ["core", "cell"])
+        .select("core", "key", "start", "alone", F.posexplode("windows").alias("n", "window"))
+        .select("core", "window", "key", (F.col("start") + F.col("n")).alias("start"), "alone"),
         "windows",
     )
     twice = windows.groupBy("core", "window").agg(F.count("*").alias("n")).filter("n > 1").select("core", "window")
-    single = (
-        windows.filter("alone").join(twice, ["core", "window"]).select("key", F.shiftleft("start", 16).alias("range"))
+    single = stage(
+        windows.filter("alone")
+        .join(twice, ["core", "window"])
+        .select("key", F.shiftleft("start", 16).alias("range")),
+        "ranges",
     )
     return whole.union(single)
 
