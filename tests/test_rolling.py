@@ -85,3 +85,18 @@ def test_rounding_helper(spark):
     got = [r[0] for r in df.select(half_up("x", 1)).collect()]
     assert got[:6] == [0.1, 0.2, 2.3, 60.0, -0.3, None]
     assert got[6] != got[6] and got[7] == 0.0
+
+
+def test_a_huge_value_leaves_no_trace(spark):
+    rows = [("c", START + timedelta(hours=h), 8e36 if h == 3 else 20.0 + h % 2) for h in range(30)]
+    got = windowed(spark, rows, 8)
+    want = brute_force(rows, 8)
+    for h in (0, 1, 2, *range(11, 30)):
+        key = "c", START + timedelta(hours=h)
+        assert got[key] == pytest.approx(want[key], rel=1e-12)
+
+
+def test_one_exchange_by_key_and_block(spark):
+    df = spark.createDataFrame([("c", START, 1.0)], "city_id string, ts timestamp_ntz, v double")
+    plan = rolling_mean(df, ["city_id"], "ts", 8, {"v": "v"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(city_id") == 1 and "_block" in plan

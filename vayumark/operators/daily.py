@@ -60,7 +60,7 @@ def pollutant_daily(hourly: DataFrame, min_hours: int = MIN_WINDOW_HOURS) -> Dat
     """Daily means and rolling maxima in one pass.
 
     Means and maxima have the same grain, so they share one aggregation over the
-    windowed rows; it reuses the window's partitioning and needs no join.
+    windowed rows, combined before its exchange; no join is needed.
     """
     return (
         rolling_8h(hourly)
