@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from vayumark.session import RECOMMENDED  # noqa: E402
+from vayumark.session import RECOMMENDED, local_scratch  # noqa: E402
 
 
 def make_session(cpus: str = "*") -> SparkSession:
@@ -25,6 +25,7 @@ def make_session(cpus: str = "*") -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    local_scratch(spark)
     return spark
 
 

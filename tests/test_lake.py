@@ -27,18 +27,15 @@ def slices(spark, lake):
     return {(r.day, r.city_id, r.run_id): r["count"] for r in rows.collect()}
 
 
-def test_rows_are_split_by_day(spark, tmp_path):
+def test_a_load_over_midnight_fills_two_folders(spark, tmp_path):
     lake = str(tmp_path / "lake")
     assert open_table(spark, lake, RAW) is None
-    land(raw(spark, day_rows(D1, range(20, 24)) + day_rows(D2, range(5))), lake)
-    assert sorted(p.name for p in (tmp_path / "lake").glob("date=*")) == [
-        "date=2025-11-01",
-        "date=2025-11-02",
-    ]
-    assert slices(spark, lake) == {(D1, "delhi", "t"): 4, (D2, "delhi", "t"): 5}
+    night = day_rows(D1, (21, 22, 23), city="kochi") + day_rows(D2, (0, 1), city="kochi")
+    land(raw(spark, night), lake)
+    assert {p.name for p in (tmp_path / "lake").iterdir() if "=" in p.name} == {f"date={d.isoformat()}" for d in (D1, D2)}
+    assert slices(spark, lake) == {(D1, "kochi", "t"): 3, (D2, "kochi", "t"): 2}
     assert raw_file_count(spark, lake).first().raw_files == 2
-    files = [p for p in (tmp_path / "lake").rglob("*.parquet")]
-    assert all(".zstd." in p.name for p in files)
+    assert all(p.name.endswith(".zstd.parquet") for p in (tmp_path / "lake").rglob("*.parquet"))
     assert "date" not in read_raw(spark, lake).columns
 
 
@@ -53,15 +50,15 @@ def test_reload_replaces_the_slice_and_keeps_the_others(spark, tmp_path):
     }
 
 
-def test_merge_is_an_idempotent_upsert(spark, tmp_path):
+def test_merging_counts_what_it_adds_and_replaces(spark, tmp_path):
     lake = str(tmp_path / "lake")
-    batch = raw(spark, day_rows(D1), "r1")
-    empty = spark.createDataFrame([], RAW)
-    assert tuple(upsert_counts(empty, batch).first()) == (24, 0)
-    merge_into_lake(batch, lake)
-    assert tuple(upsert_counts(read_raw(spark, lake), batch).first()) == (0, 24)
-    merge_into_lake(batch, lake)
-    assert slices(spark, lake) == {(D1, "delhi", "r1"): 24}
+    morning = raw(spark, day_rows(D2, range(7), city="kochi"), "m")
+    assert merge_into_lake(morning, lake) == (7, 0)
+    assert merge_into_lake(morning, lake) == (0, 7)
+    wider = raw(spark, day_rows(D2, range(5, 12), city="kochi"), "w", datetime(2025, 1, 12))
+    assert merge_into_lake(wider, lake) == (5, 2)
+    assert merge_into_lake(raw(spark, day_rows(D2, range(6), city="kochi"), "old", datetime(2025, 1, 1)), lake) == (0, 0)
+    assert slices(spark, lake) == {(D2, "kochi", "m"): 5, (D2, "kochi", "w"): 7}
 
 
 def test_upsert_takes_newer_keeps_newer_and_adds(spark):

@@ -3,6 +3,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from vayumark.operators.payloads import (
     ContractError,
@@ -11,7 +12,7 @@ from vayumark.operators.payloads import (
     require_valid,
     split_valid,
 )
-from vayumark.plans.landing import ingest_payloads
+from vayumark.plans.landing import ingest_payloads, land, stamp_lineage
 from vayumark.sources import read_payloads, read_raw
 
 FIELDS = ["pm2_5", "pm10", "nitrogen_dioxide", "sulphur_dioxide", "ozone", "carbon_monoxide"]
@@ -110,13 +111,34 @@ def test_one_bad_city_does_not_hide_the_others(spark, payloads, tmp_path):
     assert {r.city_id for r in errors.collect()} == CASES.keys() - valid
 
     lake = str(tmp_path / "lake")
-    violations = ingest_payloads(payloads, lake, "api", "r1")
+    violations = ingest_payloads(payloads, lake, "api", "r1", strict=False)
     assert violations.count() == len(CASES) - len(valid)
     assert {r.city_id for r in read_raw(spark, lake).collect()} == valid
 
 
-def test_strict_mode_names_the_failing_city(payloads):
-    with pytest.raises(ContractError, match="negative \\(pm2_5 negative\\)") as failure:
-        require_valid(payloads)
-    assert failure.value.errors.count() == sum(bool(want) for _, want in CASES.values())
-    assert require_valid(payloads.filter("city_id = 'good'")).count() == 1
+def test_all_failing_cities_are_quarantined(spark, payloads, tmp_path):
+    bad = payloads.filter("city_id = 'negative'").drop("city_id")
+    many = bad.withColumn("city_id", F.explode(F.array(*(F.lit(f"town{n}") for n in range(30)))))
+    with pytest.raises(ContractError, match=f"30 violations.* 30 cities.*{tmp_path}") as failure:
+        require_valid(many.select(*payloads.columns), f"{tmp_path}/bad")
+    found = spark.read.parquet(f"{tmp_path}/bad").collect()
+    assert {(r.city_id, r.field) for r in found} == {(f"town{n}", "pm2_5") for n in range(30)}
+    assert failure.value.errors.count() == 30
+    assert require_valid(payloads.filter("city_id = 'good'"), f"{tmp_path}/none").count() == 1
+
+
+def test_strict_ingestion_lands_the_good_and_fails(spark, payloads, tmp_path):
+    lake, broken = str(tmp_path / "lake"), sum(bool(want) for _, want in CASES.values())
+    with pytest.raises(ContractError, match=f"{broken} violations"):
+        ingest_payloads(payloads, lake, "api", "r1", quarantine=str(tmp_path / "bad"))
+    assert read_raw(spark, lake).select("city_id").distinct().count() == len(CASES) - broken
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == broken
+
+
+def test_a_document_without_a_city_is_refused(spark, payloads, tmp_path):
+    nameless = payloads.filter("city_id = 'good'").withColumn("city_id", F.lit(None).cast("string"))
+    assert [(r.field, r.problem) for r in contract_violations(nameless).collect()] == [("city_id", "missing")]
+    lake = str(tmp_path / "lake")
+    for _ in range(2):  # even unchecked, a null city is one slice
+        land(stamp_lineage(flatten_payload(nameless), "api", "r1"), lake)
+    assert read_raw(spark, lake).count() == 24

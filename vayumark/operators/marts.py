@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .aqi import day_id
 
 SUMMARY_DAYS = 30
@@ -98,7 +99,8 @@ def city_summary(fact: DataFrame, dim: DataFrame) -> DataFrame:
         *("days_measured", "avg_aqi_30d", "worst_aqi_30d", "best_aqi_30d"),
         *("good_or_satisfactory_days", "poor_or_worse_days", "usual_dominant_pollutant"),
     )
-    return global_rank(joined, "avg_aqi_30d", "pollution_rank_30d")
+    # ranking looks twice at its input: one row a city, not the fact again
+    return global_rank(stage(joined, "summary"), "avg_aqi_30d", "pollution_rank_30d")
 
 
 def level_shifts(

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import API_FIELDS, EXPECTED_UNIT
+from ..session import CheckFailure
 from ..sources.payloads import CORRUPT
 
 MICRO_SIGN, GREEK_MU = "µ", "μ"
 
 
-class ContractError(RuntimeError):
+class ContractError(CheckFailure):
     """Some payloads broke the contract; ``errors`` holds every violation."""
 
     def __init__(self, message: str, errors: DataFrame):
@@ -31,7 +32,7 @@ def _findings(df: DataFrame) -> list[Column]:
     rules = []
     if CORRUPT in df.columns:
         rules.append(_finding(F.col(CORRUPT).isNotNull(), "document", "malformed"))
-    for field in ("latitude", "longitude", "timezone", "hourly_units", "hourly"):
+    for field in ("city_id", "latitude", "longitude", "timezone", "hourly_units", "hourly"):
         rules.append(_finding(F.col(field).isNull(), field, "missing"))
 
     times = F.col("hourly.time")
@@ -83,20 +84,23 @@ def split_valid(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, contract_violations(payloads)
 
 
-def require_valid(payloads: DataFrame, named: int = 20) -> DataFrame:
-    """Raise if any payload breaks the contract, naming cities; else return all.
+def require_none(errors: DataFrame, quarantine: str) -> None:
+    """Raise if there are violations, after writing all of them to ``quarantine``.
 
-    The message names up to ``named`` cities; ``ContractError.errors`` holds
-    every violation of every city.
+    However many cities fail, each is named there; the message gives the path and
+    the totals.
     """
-    errors = contract_violations(payloads)
-    per_city = errors.groupBy("city_id").agg(
-        F.min(F.concat_ws(" ", "field", "problem")).alias("first_problem")
-    )
-    failing = per_city.orderBy("city_id").limit(named).collect()
-    if failing:
-        listed = ", ".join(f"{row.city_id} ({row.first_problem})" for row in failing)
-        raise ContractError(f"payload contract broken by {per_city.count()} cities: {listed}", errors)
+    spark, schema = errors.sparkSession, errors.schema
+    errors.write.mode("overwrite").option("compression", "zstd").parquet(quarantine)
+    errors = spark.read.schema(schema).parquet(quarantine)
+    found, cities = errors.agg(F.count("*"), F.count_distinct("city_id")).first()
+    if found:
+        raise ContractError(f"{found} violations of the payload contract in {cities} cities, see {quarantine}", errors)
+
+
+def require_valid(payloads: DataFrame, quarantine: str) -> DataFrame:
+    """The payloads if all keep the contract; else raises, see ``require_none``."""
+    require_none(contract_violations(payloads), quarantine)
     return payloads
 
 

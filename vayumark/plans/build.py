@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from datetime import date, timedelta
+from dataclasses import dataclass, field
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,24 +12,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import marts
+from ..operators import marts, quality
 from ..operators.aqi import daily_aqi, score_days, with_trends
 from ..operators.daily import pollutant_daily
 from ..operators.staging import stage_hourly
 from ..operators.upsert import align_schema
 from ..schemas import FACT
-from ..session import stage
-from ..sources.lake import open_table, read_raw
+from ..session import CheckFailure, scratch_run, stage
+from ..sources.lake import open_table, raw_since, read_raw
 from . import audit
 from .landing import write_by_day
 
 LOOKBACK_DAYS = 3
 CONTEXT_DAYS = 7
+BUILDS = T.StructType([T.StructField("began_at", T.TimestampType())])
 # rows before a day that its 7-row mean looks at
 TREND_ROWS = 6
 
 
-class AuditFailed(RuntimeError):
+class AuditFailed(CheckFailure):
     """A check failed, so nothing was published; ``results`` has every check."""
 
     def __init__(self, message: str, results: DataFrame):
@@ -37,12 +38,17 @@ class AuditFailed(RuntimeError):
         self.results = results
 
 
+class StaleInput(RuntimeError):
+    """The tables were built, but nothing new has reached the lake for too long."""
+
+
 @dataclass(frozen=True)
 class Bounds:
-    """First day to compute and first day to write."""
+    """First day to compute, first day to write, and the newest day there was."""
 
     read_from: date
     write_from: date
+    newest: date | None = field(default=None, compare=False)
 
 
 def read_fact(spark: SparkSession, path: str, schema: T.StructType = FACT) -> DataFrame:
@@ -60,7 +66,7 @@ def incremental_bounds(
     last = target.agg(F.max("observed_date")).first()[0]
     if last is None:
         return None
-    return Bounds(last - timedelta(days=lookback + context), last - timedelta(days=lookback))
+    return Bounds(last - timedelta(days=lookback + context), last - timedelta(days=lookback), last)
 
 
 def raw_from(spark: SparkSession, lake: str, first_day: date | None) -> DataFrame:
@@ -123,16 +129,18 @@ def _stored_schema(spark: SparkSession, path: str, days: set[date]) -> T.StructT
     return spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders).schema
 
 
-def write_fact(rows: DataFrame, path: str, stored: DataFrame | None = None) -> None:
+def write_fact(
+    rows: DataFrame, path: str, stored: DataFrame | None = None, newest: date | None = None
+) -> None:
     """Merge rows into the fact by key, keeping other keys of the touched days.
 
     Columns new to the table are appended to it. Replaced days are staged first
-    because they are read and overwritten by the same step. ``stored`` is the
-    table at ``path`` if the caller has opened it already.
+    because they are read and overwritten by the same step. ``stored`` and
+    ``newest`` are the table at ``path`` and its last day if the caller knows them.
     """
     spark = rows.sparkSession
     stored = stored if stored is not None else open_table(spark, path, FACT)
-    last = None if stored is None else stored.agg(F.max("observed_date")).first()[0]
+    last = newest or (None if stored is None else stored.agg(F.max("observed_date")).first()[0])
     if last is None:
         write_by_day(rows, path, "observed_date", ["city_id"], replace_all=True)
         return
@@ -154,21 +162,34 @@ def write_fact(rows: DataFrame, path: str, stored: DataFrame | None = None) -> N
     )
 
 
-def publish_fact(
+def fact_rows(
     daily: DataFrame,
-    path: str,
     breakpoints: DataFrame,
     fact: DataFrame | None,
     bounds: Bounds | None,
     **limits: int,
-) -> None:
-    """Score daily values and write them: the whole fact, or the part in bounds."""
+) -> DataFrame:
+    """The rows that a run writes to the fact, computed and kept: all, or those in bounds."""
+    if fact is None or bounds is None:
+        return stage(daily_aqi(daily, breakpoints, **limits), "fact")
+    return stage(incremental_rows(daily, fact, breakpoints, bounds, **limits), "fact")
+
+
+def fact_after(rows: DataFrame, fact: DataFrame | None, bounds: Bounds | None) -> DataFrame:
+    """The fact as it will be once ``rows`` are written."""
+    if fact is None or bounds is None:
+        return rows
+    open_days = F.col("observed_date") >= F.lit(bounds.write_from)
+    kept = fact.filter(open_days).join(rows.select("daily_aqi_id"), "daily_aqi_id", "left_anti")
+    return rows.unionByName(fact.filter(~open_days)).unionByName(kept.select(*rows.columns))
+
+
+def publish_fact(rows: DataFrame, path: str, fact: DataFrame | None, bounds: Bounds | None) -> None:
+    """Write staged rows: the whole fact, or the part in bounds."""
     if fact is None or bounds is None:
-        # overwriting deletes first, so the work is done and kept before that
-        rows = stage(daily_aqi(daily, breakpoints, **limits), "fact")
         write_by_day(rows, path, "observed_date", ["city_id"], replace_all=True)
     else:
-        write_fact(incremental_rows(daily, fact, breakpoints, bounds, **limits), path, fact)
+        write_fact(rows, path, fact, bounds.newest)
 
 
 def build_fact(
@@ -192,7 +213,15 @@ def build_fact(
     bounds = None if fact is None else incremental_bounds(fact, lookback, context)
     first_day = bounds and bounds.read_from
     hourly = stage_hourly(raw_from(spark, lake, first_day))
-    publish_fact(daily_from(hourly, first_day), path, breakpoints, fact, bounds, **limits)
+    with scratch_run(spark, "fact"):
+        rows = fact_rows(daily_from(hourly, first_day), breakpoints, fact, bounds, **limits)
+        publish_fact(rows, path, fact, bounds)
+
+
+def overwrite(rows: DataFrame, path: str) -> DataFrame:
+    """Replace the table at ``path`` by staged rows and return the table."""
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -200,8 +229,8 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
     The rows are computed and kept before the old table is deleted.
     """
-    stage(df, "mart").write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with scratch_run(df.sparkSession, "mart"):
+        return overwrite(stage(df, "mart"), path)
 
 
 def require_pass(results: DataFrame) -> DataFrame:
@@ -227,12 +256,25 @@ def audit_then_publish(
     ``checks`` maps the staged rows to check results. Rows are staged once, so
     what was checked is exactly what gets published.
     """
-    staged = stage(df, "audit")
-    results = require_pass(checks(staged))
-    publish(staged)
+    with scratch_run(df.sparkSession, "audit"):
+        staged = stage(df, "audit")
+        results = require_pass(checks(staged))
+        publish(staged)
     return results
 
 
+def last_pass(spark: SparkSession, root: str) -> datetime | None:
+    """When the last build began whose checks all passed."""
+    runs = open_table(spark, f"{root}/builds", BUILDS)
+    return None if runs is None else runs.agg(F.max("began_at")).first()[0]
+
+
+def require_fresh(raw: DataFrame, now: datetime | None = None) -> None:
+    status = quality.freshness(raw, now).first()
+    if status["status"] == "error":
+        raise StaleInput(f"the newest readings were loaded at {status['max_loaded_at']}")
+
+
 def build(
     spark: SparkSession,
     lake: str,
@@ -242,33 +284,47 @@ def build(
     *,
     full_refresh: bool = False,
     today: date | None = None,
+    now: datetime | None = None,
 ) -> DataFrame:
     """Build and audit every layer in dependency order; returns the check results.
 
-    A layer whose checks fail stops everything after it. Hourly and daily rows
-    have several consumers here, so each is computed once and staged. Readings
-    are audited over what this run reads: everything on a full build, otherwise
-    the look-back with its context, because older days were audited when they
-    were built and are not touched.
+    All tables are computed, staged and checked before the first one is written: a
+    failed check stops the run and leaves every table as it was. Hourly and daily
+    rows have several consumers here, so each is computed once.
+
+    An incremental run computes the look-back with its context. Its audit sees
+    that and every lake file written since the last build that passed, however old
+    its day is; without such a build it sees the whole lake. The fact is audited whole.
+    If the tables are built but the newest readings are too old, ``StaleInput`` is raised.
     """
+    began = spark.range(1).select(F.current_timestamp().alias("began_at")).first()["began_at"]
     fact_path = f"{root}/daily_aqi"
     built = None if full_refresh else open_table(spark, fact_path, FACT)
     bounds = None if built is None else incremental_bounds(built)
     first_day = bounds and bounds.read_from
 
-    raw = raw_from(spark, lake, first_day)
-    results = [require_pass(audit.source_checks(raw))]
-    hourly = stage(stage_hourly(raw), "hourly")
-    results.append(require_pass(audit.staging_checks(hourly, cities)))
-    daily = stage(daily_from(hourly, first_day), "daily")
-    results.append(require_pass(audit.daily_checks(daily)))
-    dim = materialize(marts.dim_city(cities), f"{root}/dim_city")
-    results.append(require_pass(audit.dim_checks(dim)))
-    publish_fact(daily, fact_path, breakpoints, built, bounds)
-    fact = read_fact(spark, fact_path)
-    results.append(require_pass(audit.fact_checks(fact, dim, today)))
-    summary = materialize(marts.city_summary(fact, dim), f"{root}/city_summary")
-    results.append(require_pass(audit.summary_checks(summary)))
-    shifts = materialize(marts.level_shifts(fact), f"{root}/level_shifts")
-    results.append(require_pass(audit.shift_checks(shifts, dim)))
+    with scratch_run(spark, "build"):
+        first_read = first_day and first_day - timedelta(days=1)
+        raw = raw_since(spark, lake, first_read, None if full_refresh else last_pass(spark, root))
+        results = [require_pass(audit.source_checks(raw))]
+        hourly = stage(stage_hourly(raw), "hourly")
+        results.append(require_pass(audit.staging_checks(hourly, cities)))
+        daily = stage(daily_from(hourly, first_day), "daily")
+        results.append(require_pass(audit.daily_checks(daily)))
+        dim = stage(marts.dim_city(cities), "dim")
+        results.append(require_pass(audit.dim_checks(dim)))
+        rows = fact_rows(daily, breakpoints, built, bounds)
+        fact = fact_after(rows, built, bounds)
+        results.append(require_pass(audit.fact_checks(fact, dim, today)))
+        summary = stage(marts.city_summary(fact, dim), "summary")
+        results.append(require_pass(audit.summary_checks(summary)))
+        shifts = stage(marts.level_shifts(fact), "shifts")
+        results.append(require_pass(audit.shift_checks(shifts, dim)))
+
+        overwrite(dim, f"{root}/dim_city")
+        publish_fact(rows, fact_path, built, bounds)
+        overwrite(summary, f"{root}/city_summary")
+        overwrite(shifts, f"{root}/level_shifts")
+        spark.createDataFrame([(began,)], BUILDS).write.mode("append").parquet(f"{root}/builds")
+    require_fresh(read_raw(spark, lake, first_read), now)
     return reduce(DataFrame.unionByName, results)

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import day_of, whole_second_now
-from ..operators.payloads import flatten_payload, split_valid
-from ..operators.upsert import conform, upsert_latest
+from ..operators.payloads import flatten_payload, require_none, split_valid
+from ..operators.upsert import conform, upsert_counts, upsert_latest
 from ..schemas import LAKE, RAW
-from ..session import stage
+from ..session import scratch_path, scratch_run, stage
 from ..sources.lake import finished_days_only, open_table
 
 SLICE = ["date", "city_id"]
@@ -65,30 +65,38 @@ def land(df: DataFrame, lake: str) -> None:
 
     Into an existing lake, the batch is staged once, and the other cities' rows
     of the touched days are staged before their folders are overwritten, so a
-    job that dies half-way loses nothing.
+    job that dies half-way loses nothing. Re-loading a few cities therefore rewrites
+    all cities of the touched days; loads are meant to bring whole days.
     """
     batch = _with_day(df)
     landed = open_table(df.sparkSession, lake, LAKE)
-    if landed is not None:
-        batch = stage(batch, "land")
-        touched = landed.filter(F.col("date").isin(_days_in(batch)))
-        others = touched.join(batch.select(*SLICE).distinct(), SLICE, "left_anti")
-        batch = batch.unionByName(stage(others, "keep"))
-    write_by_day(batch, lake, "date", ["city_id", "observed_at"])
+    with scratch_run(df.sparkSession, "land"):
+        if landed is not None:
+            batch = stage(batch, "land")
+            touched = landed.filter(F.col("date").isin(_days_in(batch)))
+            slices = batch.select(*(F.col(c).alias(f"_{c}") for c in SLICE)).distinct()
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SLICE]
+            batch = batch.unionByName(stage(touched.join(slices, same, "left_anti"), "keep"))
+        write_by_day(batch, lake, "date", ["city_id", "observed_at"])
 
 
-def merge_into_lake(df: DataFrame, lake: str) -> None:
-    """Upsert single readings: newer versions replace, unknown keys are added."""
+def merge_into_lake(df: DataFrame, lake: str) -> tuple[int, int]:
+    """Upsert single readings: newer versions replace, unknown keys are added.
+
+    Returns how many readings were inserted and how many updated.
+    """
     spark = df.sparkSession
-    batch = _with_day(df)
     landed = open_table(spark, lake, LAKE)
-    if landed is not None:
-        batch = stage(batch, "merge")
-        current = landed.filter(F.col("date").isin(_days_in(batch)))
+    with scratch_run(spark, "merge"):
+        batch = stage(_with_day(df), "merge")
+        if landed is None:
+            current = spark.createDataFrame([], batch.schema)
+        else:
+            current = landed.filter(F.col("date").isin(_days_in(batch)))
+        counts = upsert_counts(current, batch).first()
         merged = stage(upsert_latest(current, batch), "merged")
-    else:
-        merged = upsert_latest(spark.createDataFrame([], batch.schema), batch)
-    write_by_day(merged, lake, "date", ["city_id", "observed_at"])
+        write_by_day(merged, lake, "date", ["city_id", "observed_at"])
+    return counts["inserted"], counts["updated"]
 
 
 def require_finished(end: date, spark: SparkSession, now: datetime | None = None) -> None:
@@ -99,14 +107,28 @@ def require_finished(end: date, spark: SparkSession, now: datetime | None = None
 
 
 def ingest_payloads(
-    payloads: DataFrame, lake: str, source: str, run_id: str | None = None
+    payloads: DataFrame,
+    lake: str,
+    source: str,
+    run_id: str | None = None,
+    *,
+    quarantine: str | None = None,
+    strict: bool = True,
 ) -> DataFrame:
-    """Land every valid payload and return the violations of the others.
+    """Land every valid payload, then fail if there were others.
 
-    Violations are computed from the staged input, so the returned DataFrame
-    describes exactly what was not landed.
+    Every violation is written to ``quarantine`` (default: a new scratch folder). If
+    there is one, ``ContractError`` is raised after the valid payloads were landed, so
+    a bad city hides none of the rest; with ``strict=False`` the violations are
+    returned instead.
     """
-    received = stage(payloads, "payloads")
-    good, violations = split_valid(received)
-    land(stamp_lineage(flatten_payload(good), source, run_id), lake)
-    return violations
+    spark = payloads.sparkSession
+    quarantine = quarantine or scratch_path(spark, "quarantine")
+    with scratch_run(spark, "ingest"):
+        good, violations = split_valid(stage(payloads, "payloads"))
+        land(stamp_lineage(flatten_payload(good), source, run_id), lake)
+        if strict:
+            require_none(violations, quarantine)
+        else:
+            violations.write.mode("overwrite").option("compression", "zstd").parquet(quarantine)
+    return spark.read.schema(violations.schema).parquet(quarantine)

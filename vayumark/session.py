@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,27 +20,70 @@ RECOMMENDED = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+LOCAL_SCRATCH = "vayumark.scratch.dir"
+
+_run: ContextVar[str | None] = ContextVar("run", default=None)
+
+
+class CheckFailure(RuntimeError):
+    """Data broke a rule before anything was overwritten."""
 
-def scratch_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
 
-    ``spark.checkpoint.dir`` decides. Only a local session without that setting
-    gets a folder of its own; a cluster session without it is an error, because
-    a path on one machine would not survive the loss of an executor.
+def local_scratch(spark: SparkSession) -> None:
+    """Give a local session a scratch folder of its own if it names none.
+
+    For tests, benchmarks and single machines; the library itself never chooses one.
+    It has a name of its own because a running session cannot set Spark's.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_SCRATCH, None)
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.conf.set(LOCAL_SCRATCH, tempfile.mkdtemp(prefix="vayumark-"))
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Folder every executor can reach: what ``spark.checkpoint.dir`` names."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_SCRATCH, None)
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="vayumark-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/vayumark/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the folder of the run, or of all runs outside of one."""
+    return f"{_run.get() or scratch_root(spark) + '/vayumark'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch folder for what is staged inside the block; removed at its end.
+
+    It goes on success and when a check fails, since nothing was overwritten then.
+    After any other error it stays: staged rows may be the only copy of what a
+    broken write was replacing. A block inside a block shares its folder.
+    """
+    outer = _run.get()
+    if outer is not None:
+        yield outer
+        return
+    path = f"{scratch_root(spark)}/vayumark/{label}-{uuid.uuid4().hex}"
+    token = _run.set(path)
+    try:
+        yield path
+    except CheckFailure:
+        remove(spark, path)
+        raise
+    finally:
+        _run.reset(token)
+    remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the scratch space, wherever it is stored."""
+    if not path.startswith(f"{scratch_root(spark)}/vayumark/"):
+        raise ValueError(f"{path} is not below the scratch folder")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -42,6 +42,21 @@ def read_raw(spark: SparkSession, lake: str, from_date: date | None = None) -> D
     return rows.drop("date")
 
 
+def raw_since(
+    spark: SparkSession, lake: str, from_date: date | None, written_after: datetime | None
+) -> DataFrame:
+    """Raw rows of folders from ``from_date`` on, and of older ones in files written later than a moment.
+
+    Landing rewrites the folders it touches, so a late load is seen in the file
+    listing; folders without one are not opened. Everything if either bound is None.
+    """
+    rows = lake_days(spark, lake)
+    if from_date is not None and written_after is not None:
+        late = F.col("_metadata.file_modification_time") >= F.date_trunc("second", F.lit(written_after))
+        rows = rows.filter((F.col("date") >= F.lit(from_date)) | late)
+    return rows.drop("date")
+
+
 def read_days(spark: SparkSession, lake: str, days: Iterable[date]) -> DataFrame:
     """Raw rows of the given days; a day without a folder adds nothing."""
     wanted = sorted(set(days))

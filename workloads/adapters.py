@@ -83,7 +83,7 @@ def upsert_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payload per user and day, some of them broken by the day of the month.
 
-    A document holds one entry per hour, so its arrays never exceed 24 elements.
+    Documents of day 21 do not say which city they are about.
     """
     hour = F.struct("observed_at", *POLLUTANTS)
     docs = (
@@ -97,7 +97,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.transform("hours", lambda h: h[name])
 
     def first_negative(values):
-        return F.concat(F.array(F.lit(-5.0)), F.slice(values, 2, 24))
+        return F.concat(F.array(F.lit(-5.0)), F.slice(values, 2, F.size(values)))
 
     # API name -> (day of the month, damage)
     damaged = {
@@ -119,7 +119,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit["carbon_monoxide"] = F.when(month_day.isin(9, 15), "mg/m³").otherwise(EXPECTED_UNIT)
     units = F.create_map(*(part for api, text in unit.items() for part in (F.lit(api), text)))
     return docs.select(
-        "city_id",
+        F.when(month_day != 21, F.col("city_id")).alias("city_id"),
         F.lit(28.6).cast("double").alias("latitude"),
         F.lit(77.2).cast("double").alias("longitude"),
         F.lit("Asia/Kolkata").alias("timezone"),

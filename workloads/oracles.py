@@ -379,7 +379,8 @@ DECLARED_SQL = (
 
 # day of the month -> broken field and problem
 DAMAGE = "(VALUES (3, 'pm10', 'length'), (6, 'pm2_5', 'negative'), (9, 'carbon_monoxide', 'unit'), " \
-         "(12, 'ozone', 'missing'), (15, 'pm2_5', 'negative'), (15, 'carbon_monoxide', 'unit')) " \
+         "(12, 'ozone', 'missing'), (15, 'pm2_5', 'negative'), (15, 'carbon_monoxide', 'unit'), " \
+         "(21, 'city_id', 'missing')) " \
          "AS damage(month_day, field, problem)"
 
 ORACLES = {
@@ -412,12 +413,12 @@ ORACLES = {
         FROM events""",
     "payload_flatten": _with(readings(PER_USER)) + """
         SELECT city_id, observed_at, pm2_5, pm10, no2, so2, o3, co FROM readings
-        WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15)""",
+        WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15, 21)""",
     "payload_documents": _with(readings(PER_USER)) + """
         SELECT city_id, observed_at, pm2_5, pm10, no2, so2, o3, co FROM readings
-        WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15)""",
+        WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15, 21)""",
     "contract_violations": _with(readings(PER_USER)) + f"""
-        SELECT city_id, first_hour, field, problem
+        SELECT CASE WHEN month_day <> 21 THEN city_id END AS city_id, first_hour, field, problem
         FROM (SELECT city_id, observed_date, min(observed_at) AS first_hour FROM readings GROUP BY ALL)
         JOIN {DAMAGE} ON month_day = day(observed_date)""",
     "daily_averages": _with(readings(PER_USER), MEANS) + "SELECT * FROM means",
@@ -535,7 +536,23 @@ ORACLES = {
         FROM readings""",
     "land_payloads": _with(readings(PER_USER)) + """
         SELECT city_id, observed_at, pm2_5, pm10, no2, so2, o3, co, 'payloads' AS source, 'r1' AS run_id
-        FROM readings WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15)""",
+        FROM readings WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15, 21)""",
+    "ingest_strict": _with(readings(PER_USER)) + f"""
+        SELECT field, problem, count(*) AS documents,
+               (SELECT count(*) FROM readings WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15, 21)) AS rows_landed
+        FROM (SELECT DISTINCT city_id, observed_date FROM readings) JOIN {DAMAGE} ON month_day = day(observed_date)
+        GROUP BY field, problem""",
+    "rolling_outlier": """
+        WITH spiked AS (
+            SELECT user_id, ts, event_id, CASE WHEN event_id % 997 = 0 THEN pow(2, 100) ELSE value END AS value FROM events),
+        means AS (
+            SELECT e.user_id, e.event_id, avg(w.value) AS mean, count(w.value) AS value_8h_hours
+            FROM spiked e JOIN spiked w ON w.user_id = e.user_id
+             AND w.ts <= e.ts AND w.ts > e.ts - INTERVAL 8 HOUR
+            GROUP BY ALL)
+        SELECT user_id, event_id, value_8h_hours, mean > 1e20 AS spiked,
+               CASE WHEN mean < 1e20 THEN round(mean, 9) END AS value_8h_avg
+        FROM means""",
     "read_lake_days": _with(readings()) + """
         SELECT city_id, observed_at, pm2_5 FROM readings
         WHERE observed_date IN (DATE '2024-01-05', DATE '2024-01-17')""",
@@ -549,6 +566,10 @@ ORACLES = {
         FROM fact""",
     "build_tables": SUMMARY_SQL,
     "declared_checks": DECLARED_SQL,
+    "late_bad_slice": _with(readings()) + """
+        SELECT 'hourly' AS model, 'pm10 in range' AS "check", count(*) AS failures, 'fail' AS status
+        FROM readings WHERE city_id = 'st1' AND observed_date = DATE '2024-01-05'""",
+    "failed_build_keeps_fact": FACT_SQL,
     "finished_days_only": """
         SELECT event_id, CAST(ts AS DATE) AS date FROM events WHERE ts < TIMESTAMP '2024-01-21'""",
     "last_finished_days": """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from vayumark.operators import payloads as contract
 from vayumark.operators.quality import RowCheck, TableCheck
 from vayumark.plans import audit, build, landing, report
 from vayumark.schemas import FACT, RAW
-from vayumark.session import scratch_path, stage
+from vayumark.session import local_scratch, scratch_path, stage
 from . import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,8 +32,15 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    REGISTRY[function.__name__] = function
-    return function
+    """Register a query; a local session without a scratch folder gets one first."""
+
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        local_scratch(spark)
+        return function(spark, sf_dir)
+
+    REGISTRY[function.__name__] = run
+    return run
 
 
 def hourly(spark: SparkSession, sf_dir: str, city: str = adapters.STATION) -> DataFrame:
@@ -161,6 +169,22 @@ def rolling_any_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def rolling_outlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few huge values among the events must not reach windows that do not hold them."""
+    spike = F.when(F.col("event_id") % 997 == 0, F.lit(2.0**100)).otherwise(F.col("value"))
+    events = adapters.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", spike.alias("value"))
+    windows = rolling.rolling_mean(events, ["user_id"], "ts", 8, {"value": "value"})
+    mean = F.col("value_8h_avg")
+    return windows.select(
+        "user_id",
+        "event_id",
+        "value_8h_hours",
+        (mean > 1e20).alias("spiked"),
+        F.when(mean < 1e20, F.round(mean, 9)).alias("value_8h_avg"),
+    )
+
+
 @query
 def daily_rolling_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.daily_rolling_max(daily.rolling_8h(hourly(spark, sf_dir)))
@@ -487,10 +511,23 @@ def merge_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads ingested: the valid ones landed, violations kept aside."""
     lake = scratch_path(spark, "lake")
-    landing.ingest_payloads(adapters.payloads(spark, sf_dir), lake, "payloads", "r1")
+    landing.ingest_payloads(adapters.payloads(spark, sf_dir), lake, "payloads", "r1", strict=False)
     return sources.read_raw(spark, lake).drop("ingested_at")
 
 
+@query
+def ingest_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingestion that fails, with what it says is wrong and how much it landed before."""
+    lake = scratch_path(spark, "lake")
+    try:
+        landing.ingest_payloads(adapters.payloads(spark, sf_dir), lake, "payloads", "r1")
+    except contract.ContractError as error:
+        landed = sources.read_raw(spark, lake).select(F.count("*")).scalar()
+        found = error.errors.groupBy("field", "problem").agg(F.count("*").alias("documents"))
+        return found.withColumn("rows_landed", landed)
+    raise AssertionError("broken payloads passed")
+
+
 @query
 def read_lake_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_path(spark, "lake")
@@ -544,7 +581,9 @@ def build_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake, fact, marts and all declared checks; the summary read back."""
     lake, root = scratch_path(spark, "lake"), scratch_path(spark, "tables")
     landing.land(adapters.raw_hourly(spark, sf_dir), lake)
-    build.build(spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark))
+    build.build(
+        spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark), now=CHECKED_AT
+    )
     return spark.read.parquet(f"{root}/city_summary")
 
 
@@ -554,10 +593,44 @@ def declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, root = scratch_path(spark, "lake"), scratch_path(spark, "tables")
     landing.land(adapters.raw_hourly(spark, sf_dir), lake)
     return build.build(
-        spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark)
+        spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark), now=CHECKED_AT
     )
 
 
+@query
+def late_bad_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad readings landed on an old day after a build: the checks that the next build fails."""
+    lake, root = scratch_path(spark, "lake"), scratch_path(spark, "tables")
+    readings = adapters.raw_hourly(spark, sf_dir)
+    landing.land(readings, lake)
+    args = (spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark))
+    build.build(*args, now=CHECKED_AT)
+    old = readings.filter((day_of("observed_at") == date(2024, 1, 5)) & (F.col("city_id") == "st1"))
+    landing.land(old.withColumn("pm10", F.lit(99999.0)), lake)
+    try:
+        build.build(*args, now=CHECKED_AT)
+    except build.AuditFailed as error:
+        return error.results.filter("status = 'fail'")
+    raise AssertionError("a bad old day passed")
+
+
+@query
+def failed_build_keeps_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build that fails at the fact (half-hourly readings) leaves the tables of the one before."""
+    lake, root = scratch_path(spark, "lake"), scratch_path(spark, "tables")
+    readings = adapters.raw_hourly(spark, sf_dir)
+    landing.land(readings, lake)
+    args = (spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark))
+    build.build(*args, now=CHECKED_AT)
+    half_past = readings.withColumn("observed_at", F.col("observed_at") + F.expr("interval 30 minutes"))
+    landing.land(readings.union(half_past).filter(day_of("observed_at") >= date(2024, 1, 28)), lake)
+    try:
+        build.build(*args, now=CHECKED_AT)
+    except build.AuditFailed:
+        return compared(build.read_fact(spark, f"{root}/daily_aqi"))
+    raise AssertionError("too many hours a day passed")
+
+
 # Day windows
 
 
