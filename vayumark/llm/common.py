@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vayumark.session import stage
+from vayumark.session import local_scratch, stage
 
 __all__ = ["components", "keyed", "prepare", "stage", "table"]
 
@@ -18,13 +16,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 def prepare(spark: SparkSession) -> None:
     """Settings the operators need, where the session leaves them open.
 
-    A session without ``spark.checkpoint.dir`` gets a folder of its own only if
-    it is local. Arrow batches are bounded by bytes, so that a batch of very
-    long texts is as large as one of short texts. Shuffle files go when the
-    execution that wrote them ends: later steps read stages, not shuffles.
+    A session without a scratch folder gets one of its own only if it is local.
+    Arrow batches are bounded by bytes, so that a batch of very long texts is as
+    large as one of short texts. Shuffle files go when the execution that wrote
+    them ends: later steps read stages, not shuffles.
     """
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="vayumark-"))
+    local_scratch(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
