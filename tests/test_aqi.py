@@ -11,12 +11,17 @@ from vayumark.sources import read_breakpoints, read_cities
 from .readings import day_rows, raw
 
 
+# one day with every pollutant in another band, one with a gap of nine hours, one off the scale
+FULL, GAPPY, SMOKE = date(2024, 6, 3), date(2024, 6, 4), date(2024, 6, 5)
+MIXED = {"pm2_5": 105.0, "pm10": 175.0, "no2": 60.0, "so2": 240.0, "o3": 25.0, "co": 6000.0}
+
+
 @pytest.fixture(scope="module")
 def hourly(spark):
     rows = (
-        day_rows(date(2025, 1, 1))
-        + day_rows(date(2025, 1, 2), range(10))
-        + day_rows(date(2025, 1, 3), pm2_5=400.0)
+        day_rows(FULL, city="kochi", **MIXED)
+        + day_rows(GAPPY, [*range(6), *range(15, 24)], city="kochi")
+        + day_rows(SMOKE, city="kochi", **{**MIXED, "pm10": 800.0})
     )
     return stage_hourly(raw(spark, rows))
 
@@ -27,28 +32,29 @@ def fact(spark, hourly):
     return {row.observed_date: row for row in rows}
 
 
-def test_normal_day_takes_the_highest_sub_index(fact):
-    row = fact[date(2025, 1, 1)]
-    assert (row.pm2_5_sub_index, row.pm10_sub_index, row.no2_sub_index) == (75, 80, 38)
-    assert (row.o3_sub_index, row.co_sub_index) == (40, 25)
-    assert (row.aqi, row.dominant_pollutant, row.aqi_category) == (80, "pm10", "Satisfactory")
-    assert row.daily_aqi_id == "delhi|2025-01-01"
-    assert row.aqi_change_vs_prev_day is None and row.aqi_7d_avg == 80.0
+def test_every_pollutant_is_placed_in_its_band(fact):
+    row = fact[FULL]
+    # halfway through Poor, Moderate and so on; CO is 6 mg/m3 between 2 and 10
+    assert (row.pm2_5_sub_index, row.pm10_sub_index, row.no2_sub_index) == (250, 150, 75)
+    assert (row.so2_sub_index, row.o3_sub_index, row.co_sub_index) == (153, 25, 150)
+    assert (row.aqi, row.dominant_pollutant, row.aqi_category) == (250, "pm2_5", "Poor")
+    assert row.daily_aqi_id == "kochi|2024-06-03" and row.pollutants_used == 6
+    assert row.aqi_change_vs_prev_day is None and row.aqi_7d_avg == 250.0
 
 
-def test_thin_day_has_no_index(fact):
-    row = fact[date(2025, 1, 2)]
-    assert row.hours_reported == 10
-    assert row.aqi is None and row.is_aqi_valid is False and row.aqi_category is None
-    # the day still counts as the previous row
-    assert fact[date(2025, 1, 3)].aqi_change_vs_prev_day is None
+def test_a_day_with_fifteen_hours_has_no_index(fact):
+    row = fact[GAPPY]
+    assert row.hours_reported == 15 and not row.is_aqi_valid
+    assert (row.aqi, row.aqi_category, row.dominant_pollutant) == (None, None, None)
+    # its eight-hour values still count, its means do not
+    assert row.o3_sub_index is not None and row.pm10_sub_index is None
+    assert fact[SMOKE].aqi_change_vs_prev_day is None
 
 
-def test_value_above_the_scale_is_capped(fact):
-    row = fact[date(2025, 1, 3)]
-    assert row.pm2_5_sub_index == 500
-    assert (row.aqi, row.aqi_category, row.dominant_pollutant) == (500, "Severe", "pm2_5")
-    assert row.aqi_7d_avg == 290.0
+def test_smoke_off_the_scale_stays_on_top_of_it(fact):
+    row = fact[SMOKE]
+    assert (row.pm10_sub_index, row.aqi, row.dominant_pollutant) == (500, 500, "pm10")
+    assert row.aqi_category == "Severe" and row.aqi_7d_avg == 375.0
 
 
 def one_value(spark, pollutant, value, valid=True):

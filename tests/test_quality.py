@@ -88,6 +88,15 @@ def test_results_and_health(spark, table):
         ("u", "unique", 1, "fail"),
     ]
     raw = spark.sql("SELECT TIMESTAMP '2025-01-01 00:00:00 UTC' AS ingested_at")
-    panel = health_panel(results, raw, datetime(2025, 1, 1, 1)).first()
-    assert (panel.tests_total, panel.tests_passed, panel.models) == (3, 1, 2)
-    assert (panel.failed, panel.freshness) == ("k, unique", "pass")
+    builds = spark.sql(
+        "SELECT timestamp'2025-01-01 05:00:00 UTC' + make_dt_interval(0, id) AS began_at, 61.26D + id AS elapsed_s"
+        " FROM range(3)"
+    )
+    panel = health_panel(results, raw, builds, datetime(2025, 1, 1, 1), sources=["u"]).first()
+    assert (panel.tests_total, panel.tests_passed, panel.models) == (3, 1, 1)
+    assert (panel.failed, panel.freshness) == (["k", "unique"], "pass")
+    assert (panel.built_at, panel.elapsed_s) == ("2025-01-01 07:01:03 UTC", 63.3)
+    assert panel.max_loaded_at == "2025-01-01 00:00:00 UTC"
+    bare = health_panel(results.limit(0)).first()
+    assert (bare.tests_total, bare.models, bare.failed, bare.freshness) == (0, 0, [], "unknown")
+    assert bare.built_at is None and bare.max_loaded_at is None

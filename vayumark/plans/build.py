@@ -25,7 +25,9 @@ from .landing import write_by_day
 
 LOOKBACK_DAYS = 3
 CONTEXT_DAYS = 7
-BUILDS = T.StructType([T.StructField("began_at", T.TimestampType())])
+BUILDS = T.StructType(
+    [T.StructField("began_at", T.TimestampType()), T.StructField("elapsed_s", T.DoubleType())]
+)
 # rows before a day that its 7-row mean looks at
 TREND_ROWS = 6
 
@@ -325,6 +327,7 @@ def build(
         publish_fact(rows, fact_path, built, bounds)
         overwrite(summary, f"{root}/city_summary")
         overwrite(shifts, f"{root}/level_shifts")
-        spark.createDataFrame([(began,)], BUILDS).write.mode("append").parquet(f"{root}/builds")
+        elapsed = (F.current_timestamp().cast("double") - F.lit(began).cast("double")).alias("elapsed_s")
+        spark.range(1).select(F.lit(began).alias("began_at"), elapsed).write.mode("append").parquet(f"{root}/builds")
     require_fresh(read_raw(spark, lake, first_read), now)
     return reduce(DataFrame.unionByName, results)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -209,12 +210,34 @@ def heatmap(daily: DataFrame) -> DataFrame:
     )
 
 
-def health_panel(results: DataFrame, raw: DataFrame, now=None) -> DataFrame:
-    """Check roll-up next to the freshness of the raw data."""
-    fresh = quality.freshness(raw, now)
-    return quality.health(results).withColumns(
-        {
-            "freshness": fresh.select("status").scalar(),
-            "max_loaded_at": fresh.select("max_loaded_at").scalar(),
-        }
+def _shown_time(moment: Column) -> Column:
+    return F.concat(F.date_format(F.convert_timezone(None, F.lit("UTC"), moment), "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
+
+
+def health_panel(
+    results: DataFrame,
+    raw: DataFrame | None = None,
+    builds: DataFrame | None = None,
+    now: datetime | None = None,
+    sources: Sequence[str] = ("raw",),
+) -> DataFrame:
+    """Check roll-up next to the last build and the freshness of the raw data.
+
+    ``builds`` has began_at and elapsed_s of the builds that passed. What is not
+    given is unknown: freshness says so, times are null.
+    """
+    panel = quality.health(results, sources)
+    fresh, loaded = F.lit("unknown"), F.lit(None).cast("string")
+    if raw is not None:
+        found = quality.freshness(raw, now)
+        fresh = found.select("status").scalar()
+        loaded = found.select(_shown_time(F.col("max_loaded_at"))).scalar()
+    built, elapsed = F.lit(None).cast("string"), F.lit(None).cast("double")
+    if builds is not None:
+        last = builds.agg(F.max_by(F.struct("began_at", "elapsed_s"), "began_at").alias("last"))
+        ended = F.timestamp_add("SECOND", F.floor("last.elapsed_s").cast("int"), "last.began_at")
+        built = last.select(_shown_time(ended)).scalar()
+        elapsed = last.select(F.round("last.elapsed_s", 1)).scalar()
+    return panel.withColumns(
+        {"freshness": fresh, "max_loaded_at": loaded, "built_at": built, "elapsed_s": elapsed}
     )

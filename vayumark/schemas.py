@@ -24,28 +24,21 @@ POLLUTANTS = tuple(API_FIELDS.values())
 EXPECTED_UNIT = "μg/m³"
 
 
-TYPES = {
-    "string": T.StringType(),
-    "double": T.DoubleType(),
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "boolean": T.BooleanType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "timestamp_ntz": T.TimestampNTZType(),
-}
-
-
-def _fields(spec: str) -> T.StructType:
-    """Flat schema from ``name type`` pairs, without needing a session."""
-    pairs = (field.split() for field in spec.split(","))
-    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
-
-
-RAW = _fields(
-    "city_id string, observed_at timestamp_ntz, "
-    "pm2_5 double, pm10 double, no2 double, so2 double, o3 double, co double, "
-    "source string, ingested_at timestamp, run_id string"
+# Names, order and types of the raw and the fact columns.
+RAW = T.StructType(
+    [
+        T.StructField("city_id", T.StringType()),
+        T.StructField("observed_at", T.TimestampNTZType()),
+        T.StructField("pm2_5", T.DoubleType()),
+        T.StructField("pm10", T.DoubleType()),
+        T.StructField("no2", T.DoubleType()),
+        T.StructField("so2", T.DoubleType()),
+        T.StructField("o3", T.DoubleType()),
+        T.StructField("co", T.DoubleType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("run_id", T.StringType()),
+    ]
 )
 
 # What the lake files are read with: `date` is the partition folder.
@@ -70,23 +63,55 @@ PAYLOAD = T.StructType(
     ]
 )
 
-CITY = _fields(
-    "city_id string, city_name string, state string, region string, "
-    "latitude double, longitude double"
+CITY = T.StructType(
+    [
+        T.StructField("city_id", T.StringType()),
+        T.StructField("city_name", T.StringType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("latitude", T.DoubleType()),
+        T.StructField("longitude", T.DoubleType()),
+    ]
 )
 
-BREAKPOINT = _fields(
-    "pollutant string, category string, index_low double, index_high double, "
-    "conc_low double, conc_high double, unit string, averaging string"
+BREAKPOINT = T.StructType(
+    [
+        T.StructField("pollutant", T.StringType()),
+        T.StructField("category", T.StringType()),
+        T.StructField("index_low", T.DoubleType()),
+        T.StructField("index_high", T.DoubleType()),
+        T.StructField("conc_low", T.DoubleType()),
+        T.StructField("conc_high", T.DoubleType()),
+        T.StructField("unit", T.StringType()),
+        T.StructField("averaging", T.StringType()),
+    ]
 )
 
-FACT = _fields(
-    "daily_aqi_id string, city_id string, observed_date date, "
-    "hours_reported bigint, pollutants_used bigint, is_aqi_valid boolean, "
-    "aqi int, aqi_category string, dominant_pollutant string, "
-    "pm2_5_sub_index int, pm10_sub_index int, no2_sub_index int, "
-    "so2_sub_index int, o3_sub_index int, co_sub_index int, "
-    "pm2_5_24h_ug_m3 double, pm10_24h_ug_m3 double, no2_24h_ug_m3 double, "
-    "so2_24h_ug_m3 double, o3_8h_max_ug_m3 double, co_8h_max_mg_m3 double, "
-    "aqi_change_vs_prev_day int, aqi_7d_avg double, updated_at timestamp"
+FACT = T.StructType(
+    [
+        T.StructField("daily_aqi_id", T.StringType()),
+        T.StructField("city_id", T.StringType()),
+        T.StructField("observed_date", T.DateType()),
+        T.StructField("hours_reported", T.LongType()),
+        T.StructField("pollutants_used", T.LongType()),
+        T.StructField("is_aqi_valid", T.BooleanType()),
+        T.StructField("aqi", T.IntegerType()),
+        T.StructField("aqi_category", T.StringType()),
+        T.StructField("dominant_pollutant", T.StringType()),
+        T.StructField("pm2_5_sub_index", T.IntegerType()),
+        T.StructField("pm10_sub_index", T.IntegerType()),
+        T.StructField("no2_sub_index", T.IntegerType()),
+        T.StructField("so2_sub_index", T.IntegerType()),
+        T.StructField("o3_sub_index", T.IntegerType()),
+        T.StructField("co_sub_index", T.IntegerType()),
+        T.StructField("pm2_5_24h_ug_m3", T.DoubleType()),
+        T.StructField("pm10_24h_ug_m3", T.DoubleType()),
+        T.StructField("no2_24h_ug_m3", T.DoubleType()),
+        T.StructField("so2_24h_ug_m3", T.DoubleType()),
+        T.StructField("o3_8h_max_ug_m3", T.DoubleType()),
+        T.StructField("co_8h_max_mg_m3", T.DoubleType()),
+        T.StructField("aqi_change_vs_prev_day", T.IntegerType()),
+        T.StructField("aqi_7d_avg", T.DoubleType()),
+        T.StructField("updated_at", T.TimestampType()),
+    ]
 )

@@ -14,15 +14,24 @@ STATION = "'st' || (user_id % 3)"
 PER_USER = "'u' || user_id"
 
 
-def _bands() -> str:
-    """The breakpoint rows as a VALUES list."""
+def _bands() -> dict[str, list[dict[str, str]]]:
+    """The breakpoint rows by pollutant."""
     text = (resources.files("vayumark") / "data" / "breakpoints.csv").read_text("utf-8")
-    rows = csv.DictReader(line for line in text.splitlines() if not line.startswith("#"))
-    return ",\n".join(
-        f"('{r['pollutant']}', '{r['category']}', {r['index_low']}::double, {r['index_high']}::double, "
-        f"{r['conc_low']}::double, {r['conc_high']}::double)"
-        for r in rows
-    )
+    found: dict[str, list[dict[str, str]]] = {}
+    for row in csv.DictReader(line for line in text.splitlines() if not line.startswith("#")):
+        found.setdefault(row["pollutant"], []).append(row)
+    return found
+
+
+def _index_of(pollutant: str, value: str) -> str:
+    """Index of a concentration as one scalar expression: its band's line, held at the top of the scale."""
+    lines = [
+        (r["conc_low"], f"round({r['index_low']} + (least({value}, {r['conc_high']}) - {r['conc_low']})"
+         f" * ({r['index_high']} - {r['index_low']}) / ({r['conc_high']}::DOUBLE - {r['conc_low']}))")
+        for r in _bands()[pollutant]
+    ]
+    steps = " ".join(f"WHEN {value} >= {low} THEN {line}" for low, line in reversed(lines))
+    return f"CAST(CASE {steps} END AS INTEGER)"
 
 
 def _with(*parts: str) -> str:
@@ -91,30 +100,38 @@ MEASURED = """measured AS (
     FROM daily
 )"""
 
-INDEXED = f"""bands(pollutant, category, i0, i1, c0, c1) AS (VALUES
-{_bands()}
-),
-indexed AS (
-    SELECT city_id, observed_date, m.pollutant,
-           CAST(round(i0 + (least(m.value, c1) - c0) * (i1 - i0) / (c1 - c0)) AS INTEGER) AS sub_index
-    FROM measured m JOIN bands b
-      ON b.pollutant = m.pollutant AND m.is_valid AND m.value >= c0
-     AND (category = 'Severe' OR m.value < c1)
+# Fixed value: which pollutant is named if several are equally bad.
+PRIORITY = ("pm2_5", "pm10", "no2", "o3", "so2", "co")
+
+
+def _wide() -> str:
+    usable = {p: (f"{p}_24h", f"{p}_hours >= 16") for p in ("pm2_5", "pm10", "no2", "so2")}
+    usable |= {p: (f"{p}_8h_max", f"{p}_8h_max IS NOT NULL") for p in ("o3", "co")}
+    columns = ",\n           ".join(
+        f"CASE WHEN {ok} THEN {_index_of(p, value)} END AS {p}_sub_index" for p, (value, ok) in usable.items()
+    )
+    return f"""wide AS (
+    SELECT city_id, observed_date,
+           {columns}
+    FROM daily
 )"""
 
-ROLLED = """rolled AS (
-    SELECT city_id, observed_date, max(sub_index) AS max_sub_index,
-           arg_max(pollutant, sub_index * 10 + list_position(
-               ['co', 'so2', 'o3', 'no2', 'pm10', 'pm2_5'], pollutant)) AS top_pollutant,
-           count(*) AS pollutants_used,
-           max(CASE WHEN pollutant IN ('pm2_5', 'pm10') THEN 1 ELSE 0 END) AS has_particulates,
-           max(sub_index) FILTER (pollutant = 'pm2_5') AS pm2_5_sub_index,
-           max(sub_index) FILTER (pollutant = 'pm10') AS pm10_sub_index,
-           max(sub_index) FILTER (pollutant = 'no2') AS no2_sub_index,
-           max(sub_index) FILTER (pollutant = 'so2') AS so2_sub_index,
-           max(sub_index) FILTER (pollutant = 'o3') AS o3_sub_index,
-           max(sub_index) FILTER (pollutant = 'co') AS co_sub_index
-    FROM indexed GROUP BY ALL
+
+WIDE = _wide()
+INDEXED = "indexed AS (" + " UNION ALL ".join(
+    f"SELECT city_id, observed_date, '{p}' AS pollutant, {p}_sub_index AS sub_index FROM wide"
+    f" WHERE {p}_sub_index IS NOT NULL"
+    for p in PRIORITY
+) + ")"
+
+ROLLED = f"""rolled AS (
+    SELECT *,
+           list_filter([{", ".join(f"{{'p': '{p}', 'i': {p}_sub_index}}" for p in PRIORITY)}],
+                       lambda x: x.i = max_sub_index)[1].p AS top_pollutant,
+           CAST({" + ".join(f"({p}_sub_index IS NOT NULL)::INT" for p in PRIORITY)} AS BIGINT) AS pollutants_used,
+           (coalesce(pm2_5_sub_index, pm10_sub_index) IS NOT NULL)::INT AS has_particulates
+    FROM (SELECT *, greatest({", ".join(f"{p}_sub_index" for p in PRIORITY)}) AS max_sub_index FROM wide)
+    WHERE max_sub_index IS NOT NULL
 )"""
 
 
@@ -135,13 +152,13 @@ def label(column: str) -> str:
     return f"CASE {column} {steps} ELSE '–' END"
 
 
-def one_decimal(x: str, scale: int = 10) -> str:
-    return f"floor({x} * {scale} + 0.5) / {scale}"
+def shown(x: str, decimals: int = 1) -> str:
+    return f"round({x}, {decimals})"
 
 
 TREND = f"""
            aqi - lag(aqi) OVER series AS aqi_change_vs_prev_day,
-           {one_decimal('avg(aqi) OVER (series ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS aqi_7d_avg"""
+           {shown('avg(aqi) OVER (series ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS aqi_7d_avg"""
 
 FACT = f"""scored AS (
     SELECT city_id || '|' || observed_date AS daily_aqi_id, city_id, observed_date, hours_reported,
@@ -151,12 +168,12 @@ FACT = f"""scored AS (
            {category('(CASE WHEN is_aqi_valid THEN max_sub_index END)')} AS aqi_category,
            CASE WHEN is_aqi_valid THEN top_pollutant END AS dominant_pollutant,
            pm2_5_sub_index, pm10_sub_index, no2_sub_index, so2_sub_index, o3_sub_index, co_sub_index,
-           {one_decimal('pm2_5_24h')} AS pm2_5_24h_ug_m3,
-           {one_decimal('pm10_24h')} AS pm10_24h_ug_m3,
-           {one_decimal('no2_24h')} AS no2_24h_ug_m3,
-           {one_decimal('so2_24h')} AS so2_24h_ug_m3,
-           {one_decimal('o3_8h_max')} AS o3_8h_max_ug_m3,
-           {one_decimal('co_8h_max', 100)} AS co_8h_max_mg_m3
+           {shown('pm2_5_24h')} AS pm2_5_24h_ug_m3,
+           {shown('pm10_24h')} AS pm10_24h_ug_m3,
+           {shown('no2_24h')} AS no2_24h_ug_m3,
+           {shown('so2_24h')} AS so2_24h_ug_m3,
+           {shown('o3_8h_max')} AS o3_8h_max_ug_m3,
+           {shown('co_8h_max', 2)} AS co_8h_max_mg_m3
     FROM daily LEFT JOIN rolled USING (city_id, observed_date)
 ),
 fact AS (
@@ -165,7 +182,7 @@ fact AS (
 )"""
 
 TO_DAILY = (MEANS, EIGHT_HOURS, HIGHEST, DAILY)
-TO_FACT = (*TO_DAILY, MEASURED, INDEXED, ROLLED, FACT)
+TO_FACT = (*TO_DAILY, WIDE, ROLLED, FACT)
 
 CITIES = """cities AS (
     SELECT 'st' || n_nationkey AS city_id, n_name AS city_name, 'state ' || n_nationkey AS state,
@@ -231,30 +248,39 @@ ORDER_CITIES = """order_cities AS (
     FROM orders
 )"""
 
-SHIFTS = """sides AS (
-    SELECT city_id, observed_date,
-           avg(aqi) OVER past AS before_avg, count(aqi) OVER past AS before_days,
-           stddev_samp(aqi) OVER past AS before_sd,
-           avg(aqi) OVER future AS after_avg, count(aqi) OVER future AS after_days,
-           stddev_samp(aqi) OVER future AS after_sd
-    FROM order_series
-    WINDOW past AS (PARTITION BY city_id ORDER BY observed_date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING),
-           future AS (PARTITION BY city_id ORDER BY observed_date ROWS BETWEEN CURRENT ROW AND 13 FOLLOWING)
+
+
+def shifts(days: str, k: float = 1.0) -> str:
+    """Level shifts from the definition: valid days by number, joined with the 14 before and the 14 from there on."""
+    return f"""by_number AS (
+    SELECT city_id, observed_date, aqi, row_number() OVER (PARTITION BY city_id ORDER BY observed_date) AS no
+    FROM {days}
 ),
-moves AS (
-    SELECT *, after_avg - before_avg AS move, sqrt((before_sd ** 2 + after_sd ** 2) / 2) AS noise
-    FROM sides WHERE least(before_days, after_days) >= 10
+jumps AS (
+    SELECT x.city_id, x.observed_date, x.no,
+           avg(y.aqi) FILTER (y.no < x.no) AS level_before, avg(y.aqi) FILTER (y.no >= x.no) AS level_after,
+           level_after - level_before AS jump,
+           sqrt((var_samp(y.aqi) FILTER (y.no < x.no) + var_samp(y.aqi) FILTER (y.no >= x.no)) / 2) AS spread
+    FROM by_number x JOIN by_number y ON y.city_id = x.city_id AND y.no - x.no BETWEEN -14 AND 13
+    GROUP BY x.city_id, x.observed_date, x.no
+    HAVING count(*) FILTER (y.no < x.no) >= 10 AND count(*) FILTER (y.no >= x.no) >= 10
 ),
 shifts AS (
     SELECT city_id || '|' || observed_date AS level_shift_id, city_id, observed_date AS shift_date,
-           CAST(round(before_avg) AS INTEGER) AS before_avg_aqi,
-           CAST(round(after_avg) AS INTEGER) AS after_avg_aqi,
-           CAST(round(move) AS INTEGER) AS shift_aqi,
-           CASE WHEN move > 0 THEN 'up' ELSE 'down' END AS direction
-    FROM (SELECT *, max(abs(move)) OVER (PARTITION BY city_id ORDER BY observed_date
-                                         ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS largest
-          FROM moves)
-    WHERE abs(move) >= 50 AND abs(move) >= 1.0 * noise AND abs(move) = largest
+           CAST(round(level_before) AS INTEGER) AS before_avg_aqi,
+           CAST(round(level_after) AS INTEGER) AS after_avg_aqi,
+           CAST(round(jump) AS INTEGER) AS shift_aqi,
+           if(jump > 0, 'up', 'down') AS direction
+    FROM jumps j
+    WHERE abs(jump) >= greatest(50, {k} * spread)
+      AND NOT EXISTS (FROM jumps n WHERE n.city_id = j.city_id AND abs(n.no - j.no) <= 7 AND abs(n.jump) > abs(j.jump))
+)"""
+
+
+SHIFTS = shifts("order_series")
+STEPPED = """stepped AS (
+    SELECT city_id, observed_date, aqi + if(observed_date >= DATE '1995-06-17', 900, 0) AS aqi
+    FROM order_series WHERE orders > 1
 )"""
 
 
@@ -330,7 +356,7 @@ def _where(table: str, condition: str) -> str:
     return f"(SELECT count(*) FROM {table} WHERE {condition})"
 
 
-FACT_SHIFTS = SHIFTS.replace("FROM order_series", "FROM valid")
+FACT_SHIFTS = shifts("valid")
 LABELS = "('Good', 'Satisfactory', 'Moderate', 'Poor', 'Very Poor', 'Severe')"
 DECLARED = [
     ("raw", "city_id not null", _where("readings", "city_id IS NULL")),
@@ -431,8 +457,8 @@ ORACLES = {
     "daily_rolling_max": _with(readings(), EIGHT_HOURS, HIGHEST) + "SELECT * FROM highest",
     "pollutant_daily": _with(readings(), *TO_DAILY) + "SELECT * FROM daily",
     "unpivot_pollutants": _with(readings(), *TO_DAILY, MEASURED) + "SELECT * FROM measured",
-    "sub_indices": _with(readings(), *TO_DAILY, MEASURED, INDEXED) + "SELECT * FROM indexed",
-    "per_day": _with(readings(), *TO_DAILY, MEASURED, INDEXED, ROLLED) + "SELECT * FROM rolled",
+    "sub_indices": _with(readings(), *TO_DAILY, WIDE, INDEXED) + "SELECT * FROM indexed",
+    "per_day": _with(readings(), *TO_DAILY, WIDE, ROLLED) + "SELECT * FROM rolled",
     "daily_aqi": FACT_SQL,
     "aqi_trends": _with(ORDER_SERIES) + f"""
         SELECT city_id, observed_date, aqi, {TREND}
@@ -521,10 +547,25 @@ ORACLES = {
         SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM results""",
     "health": _with(ORDER_SERIES, MISLABELLED, RESULTS) + """
         SELECT count(*) AS tests_total, count(*) FILTER (failures = 0) AS tests_passed,
-               count(DISTINCT model) AS models,
+               count(DISTINCT model) FILTER (model <> 'lineitem') AS models,
                string_agg("check", ', ' ORDER BY "check") FILTER (failures > 0) AS failed,
-               'warn' AS freshness, (SELECT max(ts) FROM events) AS max_loaded_at
+               'warn' AS freshness, (SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S UTC') FROM events) AS max_loaded_at,
+               (SELECT strftime(min(ts) + INTERVAL 95 SECOND, '%Y-%m-%d %H:%M:%S UTC') FROM events) AS built_at,
+               95.3 AS elapsed_s
         FROM results""",
+    "cities_from_csv": _with(CITIES) + "SELECT * FROM cities",
+    "lake_codec": """
+        SELECT count(DISTINCT CAST(ts AS DATE)) AS files, count(DISTINCT CAST(ts AS DATE)) AS zstd_files FROM events""",
+    "history_labels": _with(readings(PER_USER)) + """
+        SELECT count(*) AS hourly_rows, count(DISTINCT city_id) AS cities,
+               strftime(min(observed_date), '%d %b %Y') AS first_day, strftime(max(observed_date), '%d %b %Y') AS last_day,
+               count(DISTINCT observed_date) AS days, 1 AS has_synthetic
+        FROM readings""",
+    "lineage": """
+        SELECT event_id, 'events' AS source, '20240120T200000Z' AS run_id, TIMESTAMP '2024-01-20 20:00:00' AS ingested_at
+        FROM events""",
+    "valid_level_shifts": _with(ORDER_SERIES, STEPPED, shifts("stepped", 2.0))
+    + "SELECT * FROM shifts",
     "land_reload": _with(readings()) + """
         SELECT city_id, observed_at, pm2_5,
                CASE WHEN again THEN pm10 + 1 ELSE pm10 END AS pm10,

@@ -134,6 +134,21 @@ def payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.flatten_payload(good)
 
 
+@query
+def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineage as a run without an id of its own makes it."""
+    events = adapters.table(spark, sf_dir, "events").select("event_id")
+    stamped = landing.stamp_lineage(events, "events", now=NOW)
+    return stamped.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
+@query
+def cities_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "cities")
+    adapters.cities(spark, sf_dir).write.option("header", True).csv(path)
+    return sources.read_cities(spark, path)
+
+
 # Daily pollutant values
 
 
@@ -285,6 +300,16 @@ def level_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.level_shifts(adapters.order_series(spark, sf_dir), **SHIFT_LIMITS)
 
 
+@query
+def valid_level_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the default limits, on a series that has invalid days and a step in the middle."""
+    step = F.when(F.col("observed_date") >= date(1995, 6, 17), 900).otherwise(0)
+    series = adapters.order_series(spark, sf_dir).withColumns(
+        {"is_aqi_valid": F.col("orders") > 1, "aqi": F.col("aqi") + step}
+    )
+    return marts.level_shifts(series)
+
+
 @query
 def named_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.named_shifts(level_shifts(spark, sf_dir), adapters.order_cities(spark, sf_dir))
@@ -313,6 +338,14 @@ def history_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.history_stats(hourly(spark, sf_dir, adapters.PER_USER))
 
 
+@query
+def history_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates as shown, of a history with some made-up readings."""
+    made_up = F.when(F.hour("observed_at") == 3, report.SYNTHETIC_SOURCE).otherwise(F.col("source"))
+    rows = hourly(spark, sf_dir, adapters.PER_USER).withColumn("source", made_up)
+    return report.history_labels(report.history_stats(rows))
+
+
 @query
 def recent_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.recent_daily(fact_table(spark, sf_dir), dim_city(spark, sf_dir))
@@ -471,10 +504,13 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    took = F.lit(95.27).alias("elapsed_s")
+    builds = adapters.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("began_at"), took)
+    first = builds.orderBy("began_at").limit(1)
     panel = report.health_panel(
-        dq_results(spark, sf_dir), adapters.raw_copies(spark, sf_dir), CHECKED_AT
+        dq_results(spark, sf_dir), adapters.raw_copies(spark, sf_dir), first, CHECKED_AT, sources=["lineitem"]
     )
-    return panel.withColumn("max_loaded_at", F.col("max_loaded_at").cast("timestamp_ntz"))
+    return panel.withColumn("failed", F.concat_ws(", ", "failed"))
 
 
 # Lake and tables: written to the shared scratch folder and read back
@@ -550,6 +586,17 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.raw_file_count(spark, lake)
 
 
+@query
+def lake_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a landed lake, and those named after the codec."""
+    lake = scratch_path(spark, "lake")
+    landing.land(adapters.raw_hourly(spark, sf_dir), lake)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(lake).select("path")
+    return files.agg(
+        F.count("*").alias("files"), F.count_if(F.col("path").endswith(".zstd.parquet")).alias("zstd_files")
+    )
+
+
 @query
 def audit_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact published after its checks passed."""
