@@ -29,6 +29,17 @@ def test_two_passes_without_an_article():
     assert op.main_text(page).split("\n") == [f"{short} one", GOOD, f"{short} two", MORE]
 
 
+def test_other_layouts():
+    text = f"<p>{GOOD}</p><p>Tail.</p>"
+    rest = f"<div class=share>Share this</div><div class='related-posts'><p>{MORE}</p></div>"
+    want = f"{GOOD}\nTail."
+    assert op.main_text(f"<main><article>{text}</article><p>More to read</p>{rest}</main>") == want
+    assert op.main_text(f"<div id=header><p>{MORE}</p></div><div class='page content'>{text}</div><div id=footer>{MORE}</div>") == want
+    assert op.main_text(f"<article>{text}<ol class=commentlist><li>{MORE}</ol></article><article class='comment'>{MORE}</article>") == want
+    assert op.main_text(f"<article><div class='entry-header'><h1 id=comments>On comments</h1></div>{text}</article>") == f"On comments\n{want}"
+    assert op.main_text(f"<body class='has-sidebar'><div class=cookieBar>{MORE}</div><main>{text}{rest}</main></body>") == want
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<a", "<p class='x", "<!-- open", "<script>open", "a < b & c &amp d", "</p></div>", "<p>" * 3000])
 def test_broken_markup_ends(page):
     assert "\n" not in op.main_text(page)

@@ -31,7 +31,8 @@ STOP_WORDS = frozenset(
 # Elements whose content is no text, that hold no article, and that end a block.
 RAW = frozenset(("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object"))
 APART = frozenset(("nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "fieldset", "canvas"))
-ARTICLE = frozenset(("article", "main"))
+ARTICLE = {"main": 1, "article": 2}
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6", "p"))
 BLOCK = frozenset(
     """
     address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form
@@ -43,13 +44,16 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # Names in class, id and role that say what an element is for.
 HINTS = frozenset(
     """
-    ad ads adsense advert advertisement advertisements adverts banner breadcrumb breadcrumbs comment comments complementary
-    consent contentinfo cookie cookies disclaimer discussion disqus footer gdpr login masthead menu menubar modal nav navbar
-    navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion recommended
-    related replies reply respond search share sharing shoutbox sidebar signup skip social sponsor sponsored subscribe
-    subscription teaser toolbar topbar tracking widget widgets
+    ad ads adbox adsense adslot adunit banner complementary consent contentinfo disclaimer login masthead menu menubar modal
+    nav navigation notice notices notification overlay pager pagination popup promo promoted promotion recommended related
+    replies reply respond search share sharing shoutbox signup social subscribe toolbar topbar widget widgets
     """.split()
 )
+# Beginnings of such names, and those that make an article no article.
+BEGINNINGS = ("advert", "breadcrumb", "comment", "cookie", "disqus", "footer", "gdpr", "navbar", "newsletter", "sidebar", "sponsor")
+NO_ARTICLE = ("ad", "ads", "advert", "comment", "promo", "related", "sponsor", "teaser")
+# A header with one of these names belongs to the text.
+OWN_HEADER = frozenset(("article", "content", "entry", "main", "post", "story"))
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>"""
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*)(?:>|\Z)|[^<]+|<""",
@@ -69,26 +73,36 @@ SHORT = 12
 STOPS_HIGH, STOPS_LOW = 0.15, 0.05
 
 
-def unwanted(attributes: str) -> bool:
+def unwanted(element: str, attributes: str) -> bool:
     """Whether class, id, role or style say that an element is not part of the text."""
+    if element in ("html", "body"):  # their classes speak of the page
+        return False
     for key, a, b, c in MARKS.findall(attributes):
         key, value = key.lower(), a or b or c
         if key in ("class", "id", "role"):
-            if not HINTS.isdisjoint(NAMES.findall(CAMEL.sub(" ", value).lower())):
+            names = NAMES.findall(CAMEL.sub(" ", value).lower())
+            if element in ARTICLE:
+                if any(n.startswith(NO_ARTICLE[2:]) or n in NO_ARTICLE for n in names):
+                    return True
+            elif key == "id" and element in HEADINGS:
+                continue  # an anchor, named after what the heading says
+            elif not HINTS.isdisjoint(names) or any(n.startswith(BEGINNINGS) for n in names):
+                return True
+            elif "header" in names and OWN_HEADER.isdisjoint(names) and element not in HEADINGS:
                 return True
         elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and HIDDEN.search(value)):
             return True
     return False
 
 
-def blocks(page: str) -> list[tuple[str, float, bool]]:
-    """Text, link density and whether it is in an article, of the blocks outside unwanted elements."""
-    found: list[tuple[str, float, bool]] = []
+def blocks(page: str) -> list[tuple[str, float, int]]:
+    """Text, link density and place (0 outside, 1 in the page's main part, 2 in an article) of the blocks outside unwanted elements."""
+    found: list[tuple[str, float, int]] = []
     text: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # element, inside something unwanted, inside an article
-    links = at = 0
-    apart = article = False
+    stack: list[tuple[str, bool, int]] = []  # element, inside something unwanted, place
+    links = at = article = 0
+    apart = False
 
     def close() -> None:
         nonlocal linked
@@ -133,10 +147,9 @@ def blocks(page: str) -> list[tuple[str, float, bool]]:
             elif name == "br":
                 text.append(" ")
             if name not in VOID and not attributes.endswith("/"):
-                drop = apart or name in APART or unwanted(attributes) and name not in ("html", "body", "article", "main")
-                drop = drop or (name == "article" and article and unwanted(attributes)) or (name == "header" and not article)
-                stack.append((name, drop, article or (name in ARTICLE and not drop)))
-        apart, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                drop = apart or name in APART or unwanted(name, attributes) or (name == "header" and not article)
+                stack.append((name, drop, article if drop else max(article, ARTICLE.get(name, 0))))
+        apart, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
         links = sum(e[0] == "a" for e in stack)
     close()
     return found
@@ -156,12 +169,13 @@ def first_label(text: str, link_density: float) -> int:
 def main_text(page: str) -> str:
     """Blocks of the main text of ``page`` in order, one to a line."""
     found = blocks(page)
-    within = any(article for _, _, article in found)
+    held = [sum(len(text) for text, _, place in found if place >= least) for least in (1, 2)]
+    within = 2 if held[1] * 3 > held[0] else 1 if held[0] else 0
     labels = []
-    for text, density, article in found:
+    for text, density, place in found:
         label = first_label(text, density)
         if within:  # the page says itself where its article is
-            label = -1 if not article else max(label, 0) if density < LINKS else label
+            label = -1 if place < within else max(label, 0) if density < LINKS else label
         labels.append(label)
     if 1 not in labels:  # stop words of no known language: length and links decide
         labels = [1 if d < LINKS and len(LETTERS.findall(t)) >= SHORT else n for n, (t, d, _) in zip(labels, found, strict=True)]
