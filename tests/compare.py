@@ -58,7 +58,7 @@ def main() -> None:
     from tests.conftest import make_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:] or list(contract.queries())
+    wanted = sys.argv[2:] or list(contract.oracle_sql())
     spark, con = make_session(), connect(sf_dir)
     bad = 0
     for name in wanted:

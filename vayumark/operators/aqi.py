@@ -29,6 +29,8 @@ DISPLAY = {
     "o3_8h_max_ug_m3": ("o3_8h_max", 1),
     "co_8h_max_mg_m3": ("co_8h_max", 2),
 }
+# slots per pollutant in the band join
+BAND_SLOTS = 32
 
 
 def _unpivot(min_hours: int) -> Column:
@@ -50,9 +52,14 @@ def unpivot_pollutants(daily: DataFrame, min_hours: int = MIN_HOURS) -> DataFram
 
 
 def _place_in_band(values: DataFrame, breakpoints: DataFrame, how: str) -> DataFrame:
-    """Band join and interpolation. The band table is fixed and small; the planner
-    broadcasts it by its known size."""
+    """Band join and interpolation.
+
+    The band table is fixed and small; the planner broadcasts it by its known size.
+    If it may not, six pollutants would be six keys, so days are dealt to slots and
+    each slot has the bands.
+    """
     bands = breakpoints.selectExpr(
+        f"explode(sequence(0, {BAND_SLOTS - 1})) AS slot",
         "pollutant AS band_of",
         "conc_low AS starts",
         "conc_high AS ends",
@@ -62,7 +69,8 @@ def _place_in_band(values: DataFrame, breakpoints: DataFrame, how: str) -> DataF
         f"category = '{TOP_CATEGORY}' AS is_top",
     )
     in_band = F.expr(
-        "is_valid AND pollutant = band_of AND value >= starts AND (is_top OR value < ends)"
+        f"is_valid AND pollutant = band_of AND slot = pmod(hash({', '.join(DAY_KEY)}), {BAND_SLOTS})"
+        " AND value >= starts AND (is_top OR value < ends)"
     )
     within = "(least(value, ends) - starts)"
     placed = values.join(bands, in_band, how)
