@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import aqi_category
@@ -169,9 +169,65 @@ def check_results(
     combined = parts[0]
     for part in parts[1:]:
         combined = combined.unionByName(part)
-    return combined.withColumn(
-        "status", F.when(F.col("failures") == 0, "pass").otherwise("fail")
+    return _with_status(combined)
+
+
+def grouped_results(
+    model: str,
+    df: DataFrame,
+    rows: Sequence[RowCheck],
+    unique: Sequence[tuple[str, ...]] = (),
+    known: tuple[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Results of row checks, uniqueness and known keys of one table from one scan of it.
+
+    The rows are grouped by every key at once (grouping sets), after partial
+    aggregation. Nulls are ignored where the key is a single column. ``known`` is a
+    column and the table that must hold its values.
+    """
+    sets = [*unique, *([(known[0],)] if known else [])] or [(df.columns[0],)]
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    counted = df.select(*columns, *(c.offending.cast("int").alias(f"_c{i}") for i, c in enumerate(rows)))
+    grouped = counted.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
+        F.count("*").alias("_n"),
+        F.grouping_id().alias("_set"),
+        *(F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(rows))),
+    )
+    number = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s) for s in sets]
+    failures = [(c.name, F.sum(F.when(F.col("_set") == number[0], F.col(f"_c{i}")))) for i, c in enumerate(rows)]
+    for n, s in zip(number, unique, strict=False):
+        twice = (F.col("_set") == n) & (F.col("_n") > 1)
+        if len(s) == 1:
+            twice = twice & F.col(s[0]).isNotNull()
+        failures.append((f"{' + '.join(s)} unique", F.count_if(twice)))
+    if known:
+        key, parent = known
+        there = parent.select(F.col(key).alias("_known")).distinct()
+        grouped = grouped.join(there, (F.col("_set") == number[-1]) & (F.col(key) == F.col("_known")), "left")
+        orphan = (F.col("_set") == number[-1]) & F.col(key).isNotNull() & F.col("_known").isNull()
+        failures.append((f"{key} known", F.count_if(orphan)))
+    counts = grouped.agg(*(F.coalesce(n, F.lit(0)).cast("long").alias(f"_f{i}") for i, (_, n) in enumerate(failures)))
+    listed = F.array(
+        *(F.struct(F.lit(name).alias("check"), F.col(f"_f{i}").alias("failures")) for i, (name, _) in enumerate(failures))
     )
+    return _with_status(counts.select(F.lit(model).alias("model"), F.inline(listed)))
+
+
+def observed_results(model: str, df: DataFrame, rows: Sequence[RowCheck]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``df`` with row checks counted on its way to whoever uses it, and the results once it was used."""
+    seen = Observation()
+    passing = df.observe(seen, *(F.count_if(c.offending).alias(f"c{i}") for i, c in enumerate(rows)))
+
+    def results() -> DataFrame:
+        found = seen.get
+        counts = [(model, c.name, found[f"c{i}"]) for i, c in enumerate(rows)]
+        return _with_status(df.sparkSession.createDataFrame(counts, "model string, check string, failures bigint"))
+
+    return passing, results
+
+
+def _with_status(results: DataFrame) -> DataFrame:
+    return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
 def health(results: DataFrame, sources: Sequence[str] = ("raw",)) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..functions import CATEGORIES
 from ..operators import quality as q
-from ..operators.quality import RowCheck, TableCheck, check_results
+from ..operators.quality import RowCheck, grouped_results
 from ..schemas import POLLUTANTS
 
 DIRECTIONS = ("up", "down")
@@ -18,20 +18,8 @@ def _required(*columns: str) -> list[RowCheck]:
     return [RowCheck(f"{c} not null", q.is_missing(c)) for c in columns]
 
 
-def _unique(df: DataFrame, *columns: str) -> TableCheck:
-    return TableCheck(f"{' + '.join(columns)} unique", q.check_unique_combination(df, columns))
-
-
-def _single_unique(df: DataFrame, column: str) -> TableCheck:
-    return TableCheck(f"{column} unique", q.check_unique(df, column))
-
-
-def _known_city(df: DataFrame, cities: DataFrame) -> TableCheck:
-    return TableCheck("city_id known", q.check_relationships(df, cities, "city_id"))
-
-
-def source_checks(raw: DataFrame) -> DataFrame:
-    return check_results({"raw": (raw, _required("city_id", "observed_at"))}, {})
+def source_rows() -> list[RowCheck]:
+    return _required("city_id", "observed_at")
 
 
 def staging_checks(hourly: DataFrame, cities: DataFrame) -> DataFrame:
@@ -40,18 +28,15 @@ def staging_checks(hourly: DataFrame, cities: DataFrame) -> DataFrame:
         RowCheck("pm2_5 in range", q.out_of_range("pm2_5", 0, 2000)),
         RowCheck("pm10 in range", q.out_of_range("pm10", 0, 3000)),
     ]
-    tables = [_unique(hourly, "city_id", "observed_at"), _known_city(hourly, cities)]
-    return check_results({"hourly": (hourly, rows)}, {"hourly": tables})
+    return grouped_results("hourly", hourly, rows, [("city_id", "observed_at")], ("city_id", cities))
 
 
 def daily_checks(daily: DataFrame) -> DataFrame:
-    return check_results({}, {"pollutant_daily": [_unique(daily, "city_id", "observed_date")]})
+    return grouped_results("pollutant_daily", daily, [], [("city_id", "observed_date")])
 
 
 def dim_checks(dim: DataFrame) -> DataFrame:
-    return check_results(
-        {"dim_city": (dim, _required("city_id"))}, {"dim_city": [_single_unique(dim, "city_id")]}
-    )
+    return grouped_results("dim_city", dim, _required("city_id"), [("city_id",)])
 
 
 def fact_checks(fact: DataFrame, dim: DataFrame, today: date | None = None) -> DataFrame:
@@ -64,19 +49,12 @@ def fact_checks(fact: DataFrame, dim: DataFrame, today: date | None = None) -> D
         RowCheck("aqi_category matches aqi", q.wrong_category()),
         RowCheck("observed_date not in future", q.in_future(today=today)),
     ]
-    tables = [
-        _single_unique(fact, "daily_aqi_id"),
-        _unique(fact, "city_id", "observed_date"),
-        _known_city(fact, dim),
-    ]
-    return check_results({"daily_aqi": (fact, rows)}, {"daily_aqi": tables})
+    keys = [("daily_aqi_id",), ("city_id", "observed_date")]
+    return grouped_results("daily_aqi", fact, rows, keys, ("city_id", dim))
 
 
 def summary_checks(summary: DataFrame) -> DataFrame:
-    return check_results(
-        {"city_summary": (summary, _required("city_id"))},
-        {"city_summary": [_single_unique(summary, "city_id")]},
-    )
+    return grouped_results("city_summary", summary, _required("city_id"), [("city_id",)])
 
 
 def shift_checks(shifts: DataFrame, dim: DataFrame) -> DataFrame:
@@ -84,5 +62,4 @@ def shift_checks(shifts: DataFrame, dim: DataFrame) -> DataFrame:
         *_required("level_shift_id", "city_id"),
         RowCheck("direction accepted", q.not_accepted("direction", DIRECTIONS)),
     ]
-    tables = [_single_unique(shifts, "level_shift_id"), _known_city(shifts, dim)]
-    return check_results({"level_shifts": (shifts, rows)}, {"level_shifts": tables})
+    return grouped_results("level_shifts", shifts, rows, [("level_shift_id",)], ("city_id", dim))

@@ -25,6 +25,14 @@ from .landing import write_by_day
 
 LOOKBACK_DAYS = 3
 CONTEXT_DAYS = 7
+TAIL = T.StructType(
+    [
+        T.StructField("city_id", T.StringType()),
+        T.StructField("observed_date", T.DateType()),
+        T.StructField("aqi", T.IntegerType()),
+        T.StructField("before", T.DateType()),
+    ]
+)
 BUILDS = T.StructType(
     [T.StructField("began_at", T.TimestampType()), T.StructField("elapsed_s", T.DoubleType())]
 )
@@ -77,41 +85,65 @@ def raw_from(spark: SparkSession, lake: str, first_day: date | None) -> DataFram
     return read_raw(spark, lake, first_day and first_day - timedelta(days=1))
 
 
-def _earlier_rows(fact: DataFrame, scored: DataFrame, bounds: Bounds) -> DataFrame | None:
-    """Fact rows that complete the trend context of cities with gaps.
-
-    Days from the read bound on were recomputed. A city that has fewer than six
-    of them before the write bound needs older rows, which come from the fact;
-    without such a city the history is not read at all.
-    """
-    context = scored.groupBy("city_id").agg(
-        F.count_if(F.col("observed_date") < F.lit(bounds.write_from)).alias("have")
-    )
-    short = context.filter(F.col("have") < TREND_ROWS)
-    if short.isEmpty():
-        return None
+def _last_rows(fact: DataFrame, before: date) -> DataFrame:
+    """The rows of every city that the trends of its next days look at."""
     newest_first = W.partitionBy("city_id").orderBy(F.desc("observed_date"))
     return (
-        fact.filter(F.col("observed_date") < F.lit(bounds.read_from))
+        fact.filter(F.col("observed_date") < F.lit(before))
         .select("city_id", "observed_date", "aqi")
-        .join(short.select("city_id"), "city_id", "left_semi")
         .withColumn("_back", F.row_number().over(newest_first))
         .filter(F.col("_back") <= TREND_ROWS)
         .drop("_back")
     )
 
 
+def _tail_path(path: str) -> str:
+    return f"{path.rstrip('/')}_tail"
+
+
+def read_tail(spark: SparkSession, path: str, bounds: Bounds) -> DataFrame | None:
+    """Last rows before the read bound as the run before kept them; None if it kept none for this bound."""
+    tail = open_table(spark, _tail_path(path), TAIL)
+    if tail is None:
+        return None
+    kept = tail.agg(F.min("before"), F.max("before")).first()
+    return tail.drop("before") if tuple(kept) == (bounds.read_from, bounds.read_from) else None
+
+
+def tail_after(
+    rows: DataFrame, fact: DataFrame | None, bounds: Bounds | None, tail: DataFrame | None, lookback: int, context: int
+) -> DataFrame | None:
+    """Last rows of every city before the next run's read bound, from those of this run and the days since.
+
+    The history is scanned only if there is no tail to go on from.
+    """
+    after = fact_after(rows, fact, bounds).select("city_id", "observed_date", "aqi")
+    newest = rows.agg(F.max("observed_date")).first()[0]
+    newest = max(d for d in (newest, bounds and bounds.newest, date.min) if d)
+    if newest == date.min:
+        return None
+    before = newest - timedelta(days=lookback + context)
+    if tail is not None:
+        after = tail.unionByName(after.filter(F.col("observed_date") >= F.lit(bounds.read_from)))
+    return _last_rows(after, before).withColumn("before", F.lit(before))
+
+
 def incremental_rows(
-    daily: DataFrame, fact: DataFrame, breakpoints: DataFrame, bounds: Bounds, **limits: int
+    daily: DataFrame,
+    fact: DataFrame,
+    breakpoints: DataFrame,
+    bounds: Bounds,
+    tail: DataFrame | None = None,
+    **limits: int,
 ) -> DataFrame:
     """Fact rows from the write bound on, equal to those of a full build.
 
-    ``daily`` holds the days from the read bound on.
+    ``daily`` holds the days from the read bound on. Trends of cities with gaps reach
+    further back: to the rows of ``tail``, or of the fact if there is no tail.
     """
-    scored = stage(score_days(daily, breakpoints, **limits), "scored")
-    earlier = _earlier_rows(fact, scored, bounds)
-    if earlier is not None:
-        scored = scored.unionByName(earlier, allowMissingColumns=True)
+    scored = score_days(daily, breakpoints, **limits)
+    earlier = tail if tail is not None else _last_rows(fact, bounds.read_from)
+    scored = scored.unionByName(earlier, allowMissingColumns=True)
     return (
         with_trends(scored)
         .filter(F.col("observed_date") >= F.lit(bounds.write_from))
@@ -169,12 +201,13 @@ def fact_rows(
     breakpoints: DataFrame,
     fact: DataFrame | None,
     bounds: Bounds | None,
+    tail: DataFrame | None = None,
     **limits: int,
 ) -> DataFrame:
     """The rows that a run writes to the fact, computed and kept: all, or those in bounds."""
     if fact is None or bounds is None:
         return stage(daily_aqi(daily, breakpoints, **limits), "fact")
-    return stage(incremental_rows(daily, fact, breakpoints, bounds, **limits), "fact")
+    return stage(incremental_rows(daily, fact, breakpoints, bounds, tail, **limits), "fact")
 
 
 def fact_after(rows: DataFrame, fact: DataFrame | None, bounds: Bounds | None) -> DataFrame:
@@ -215,9 +248,14 @@ def build_fact(
     bounds = None if fact is None else incremental_bounds(fact, lookback, context)
     first_day = bounds and bounds.read_from
     hourly = stage_hourly(raw_from(spark, lake, first_day))
+    tail = bounds and read_tail(spark, path, bounds)
     with scratch_run(spark, "fact"):
-        rows = fact_rows(daily_from(hourly, first_day), breakpoints, fact, bounds, **limits)
+        rows = fact_rows(daily_from(hourly, first_day), breakpoints, fact, bounds, tail, **limits)
+        after = tail_after(rows, fact, bounds, tail, lookback, context)
+        after = after and stage(after, "tail")
         publish_fact(rows, path, fact, bounds)
+        if after is not None:
+            overwrite(after, _tail_path(path))
 
 
 def overwrite(rows: DataFrame, path: str) -> DataFrame:
@@ -308,14 +346,16 @@ def build(
     with scratch_run(spark, "build"):
         first_read = first_day and first_day - timedelta(days=1)
         raw = raw_since(spark, lake, first_read, None if full_refresh else last_pass(spark, root))
-        results = [require_pass(audit.source_checks(raw))]
+        raw, source_results = quality.observed_results("raw", raw, audit.source_rows())
         hourly = stage(stage_hourly(raw), "hourly")
+        results = [require_pass(source_results())]
         results.append(require_pass(audit.staging_checks(hourly, cities)))
         daily = stage(daily_from(hourly, first_day), "daily")
         results.append(require_pass(audit.daily_checks(daily)))
         dim = stage(marts.dim_city(cities), "dim")
         results.append(require_pass(audit.dim_checks(dim)))
-        rows = fact_rows(daily, breakpoints, built, bounds)
+        tail = bounds and read_tail(spark, fact_path, bounds)
+        rows = fact_rows(daily, breakpoints, built, bounds, tail)
         fact = fact_after(rows, built, bounds)
         results.append(require_pass(audit.fact_checks(fact, dim, today)))
         summary = stage(marts.city_summary(fact, dim), "summary")
@@ -323,8 +363,13 @@ def build(
         shifts = stage(marts.level_shifts(fact), "shifts")
         results.append(require_pass(audit.shift_checks(shifts, dim)))
 
+        after = tail_after(rows, built, bounds, tail, LOOKBACK_DAYS, CONTEXT_DAYS)
+        after = after and stage(after, "tail")
+
         overwrite(dim, f"{root}/dim_city")
         publish_fact(rows, fact_path, built, bounds)
+        if after is not None:
+            overwrite(after, _tail_path(fact_path))
         overwrite(summary, f"{root}/city_summary")
         overwrite(shifts, f"{root}/level_shifts")
         elapsed = (F.current_timestamp().cast("double") - F.lit(began).cast("double")).alias("elapsed_s")

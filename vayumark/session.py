@@ -81,9 +81,18 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the scratch space, wherever it is stored."""
     if not path.startswith(f"{scratch_root(spark)}/vayumark/"):
         raise ValueError(f"{path} is not below the scratch folder")
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = _filesystem(spark, path)
+    files.delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _filesystem(spark, path)
+    return files.exists(folder)
+
+
+def _filesystem(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

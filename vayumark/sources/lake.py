@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import local_today
 from ..schemas import LAKE
+from ..session import exists
 
 
 def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
@@ -21,12 +21,7 @@ def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     names turned into other types. Opening lists the folders, which is the main
     cost for a long table: hand the result on instead of opening again.
     """
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else None
 
 
 def lake_days(spark: SparkSession, lake: str) -> DataFrame:
