@@ -202,7 +202,8 @@ def repeated_ranges(rows: DataFrame, length: int, core: int) -> DataFrame:
     anchors = rows.filter(F.octet_length("text") >= length).mapInArrow(
         find_anchors(length, core), "core long, span long, key long, at long"
     )
-    seen = anchors.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    # stages on both sides let the joins split a core that has many of the rows
+    seen = stage(anchors.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "cores")
     hits = stage(anchors.join(seen, "core"), "anchors")
 
     kinds = stage(
@@ -215,7 +216,7 @@ def repeated_ranges(rows: DataFrame, length: int, core: int) -> DataFrame:
         "ranges",
     )
 
-    mixed = kinds.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    mixed = stage(kinds.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "cores")
     wanted = (
         kinds.join(mixed, "core")
         .select("one.key", (F.col("one.at") * 2 + (F.col("n") == 1).cast("long")).alias("mark"))
@@ -231,14 +232,18 @@ def repeated_ranges(rows: DataFrame, length: int, core: int) -> DataFrame:
         ),
         "cells",
     )
-    shared = cells.groupBy("core", "cell").agg(F.count("*").alias("n")).filter("n > 1").select("core", "cell")
+    shared = stage(
+        cells.groupBy("core", "cell").agg(F.count("*").alias("n")).filter("n > 1").select("core", "cell"), "cells"
+    )
     windows = stage(
         cells.join(shared, ["core", "cell"])
         .select("core", "key", "start", "alone", F.posexplode("windows").alias("n", "window"))
         .select("core", "window", "key", (F.col("start") + F.col("n")).alias("start"), "alone"),
         "windows",
     )
-    twice = windows.groupBy("core", "window").agg(F.count("*").alias("n")).filter("n > 1").select("core", "window")
+    twice = stage(
+        windows.groupBy("core", "window").agg(F.count("*").alias("n")).filter("n > 1").select("core", "window"), "windows"
+    )
     single = stage(
         windows.filter("alone")
         .join(twice, ["core", "window"])
