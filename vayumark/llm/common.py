@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vayumark.session import local_scratch, stage
 
-__all__ = ["components", "keyed", "prepare", "stage", "table"]
+__all__ = ["among_smallest", "components", "keyed", "prepare", "stage", "table"]
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,6 +44,16 @@ def keyed(rows: DataFrame, *columns, by: str = "doc_id", value: str = "text") ->
     return rows.select(key.alias("key"), *columns)
 
 
+def among_smallest(draw, most: int, count):
+    """Whether the 64-bit hash ``draw`` is so small that about 2 x ``most`` of ``count`` rows pass.
+
+    Before the ``most`` smallest hashes are picked, this keeps what reaches the task
+    that picks in proportion to ``most``, however many tasks read the table.
+    """
+    part = F.least(F.lit(1.0), (2 * F.lit(most) + 100) / F.greatest(count, F.lit(1)))
+    return (draw.cast("double") / 2.0**64 + 0.5) <= part
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest reachable node) of every node in ``edges`` (a, b: long).
 

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vayumark.llm.common import among_smallest, stage
+
 #: Buckets of hashed n-grams.
 BUCKETS = 1 << 15
 #: Most training rows of a language: those with the smallest hashes.
@@ -88,13 +90,17 @@ def mixture(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
 def train(docs: DataFrame, most: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
     """Probability of each bucket in each language of ``docs`` (doc_id, text, lang).
 
-    At most ``most`` rows of a language are used, with whole texts. Rows without a
+    At most ``most`` rows of a language are used, with whole texts. Rows without an id, a
     language or a letter teach nothing.
     """
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    usable = docs.filter("lang is not null and text is not null").select(
+        "doc_id", "lang", F.xxhash64("doc_id", "lang").alias("draw")
+    )
+    counts = stage(usable.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
     picked = (
-        docs.filter("lang is not null and text is not null")
-        .select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("draw"))
+        usable.join(counts, "lang")
+        .filter(among_smallest(F.col("draw"), most, F.col("rows")))
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= most)
         .select("doc_id", "lang")
