@@ -133,8 +133,12 @@ def due_type() -> str:
 
 def spans_by_path(versions: DataFrame, findings: DataFrame, *columns: str) -> DataFrame:
     """``columns`` of every row of ``versions`` (text) and ``spans``, the findings of its blob by start and rank (never null)."""
-    per_blob = findings.groupBy("blob").agg(
-        F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans")
+    # a stage on this side lets the join split a blob that has many paths
+    per_blob = stage(
+        findings.groupBy("blob").agg(
+            F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans")
+        ),
+        "findings",
     )
     empty = F.expr("array()").cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
     return (
@@ -169,6 +173,7 @@ def redact(docs: DataFrame, mark: str = "[secret]", rules: tuple[Rule, ...] = RU
         .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
         .withColumnRenamed("blob", "found_blob")
     )
+    runs = stage(runs, "runs")
     pieces = F.expr(
         "transform(sequence(0, size(runs)), i -> substring(text,"
         " cast(if(i = 0, 0, get(runs, i - 1).end) + 1 as int),"
