@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vayumark.llm.common import components, keyed, stage
+from vayumark.llm.common import among_smallest, components, keyed, stage
 
 #: Most pivots of one dimension; they and the cells' sizes are all that reaches the driver.
 PIVOTS = 4096
@@ -144,8 +144,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, tile: int = 2048
     sizes = {r["dim"]: r["n"] for r in distinct.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     wanted = {dim: min(PIVOTS, -(-n // tile)) for dim, n in sizes.items()}
     order = Window.partitionBy("dim").orderBy(F.xxhash64("node"), "node")
+    count = F.coalesce(*(F.when(F.col("dim") == dim, n) for dim, n in sizes.items()), F.lit(0))
     picked = (
         distinct.select("dim", "node", "embedding")
+        .filter(among_smallest(F.xxhash64("node"), max([1, *wanted.values()]), count))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= max([1, *wanted.values()]))
     )
