@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vayumark.llm.common import among_smallest
+
 #: Buckets of words, and as many of character trigrams.
 BUCKETS = 1 << 15
 #: Most labelled rows that the classifier is trained and calibrated on.
@@ -125,9 +127,13 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model |
         .groupBy("doc_id")
         .agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
         .filter("low = high")
-        .select("doc_id", F.col("low").alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .select("doc_id", F.col("low").alias("quality"), F.xxhash64("doc_id").alias("draw"))
+    )
+    known = (
+        known.filter(among_smallest(F.col("draw"), most, F.lit(known.count())))
+        .orderBy("draw", "doc_id")
         .limit(most)
+        .drop("draw")
     )
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality")
 
