@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from vayumark.llm import mixing, packing, quality, secrets, simhash
 from vayumark.llm.common import prepare, stage, table
 
-#: Words of a shingle and differing bits of a near-duplicate.
-SHINGLE_WORDS, DISTANCE = 5, 3
+#: Words of a shingle and least Jaccard similarity of a near-duplicate.
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of near-duplicates."""
     prepare(spark)
-    return simhash.keep_one(docs, SHINGLE_WORDS, DISTANCE)
+    return simhash.keep_one(docs, SHINGLE_WORDS, SIMILARITY)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
