@@ -40,6 +40,13 @@ def test_other_layouts():
     assert op.main_text(f"<body class='has-sidebar'><div class=cookieBar>{MORE}</div><main>{text}{rest}</main></body>") == want
 
 
+def test_small_article_does_not_hide_the_text():
+    prose = "".join(f"<div><p>{GOOD} {n}</p></div>" for n in range(90))
+    for card in ("article", "main"):
+        got = op.main_text(f"<div>{prose}</div><{card}><p>{MORE[:60]}</p></{card}>").split("\n")
+        assert got[:90] == [f"{GOOD} {n}" for n in range(90)]
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<a", "<p class='x", "<!-- open", "<script>open", "a < b & c &amp d", "</p></div>", "<p>" * 3000])
 def test_broken_markup_ends(page):
     assert "\n" not in op.main_text(page)

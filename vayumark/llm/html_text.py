@@ -169,8 +169,8 @@ def first_label(text: str, link_density: float) -> int:
 def main_text(page: str) -> str:
     """Blocks of the main text of ``page`` in order, one to a line."""
     found = blocks(page)
-    held = [sum(len(text) for text, _, place in found if place >= least) for least in (1, 2)]
-    within = 2 if held[1] * 3 > held[0] else 1 if held[0] else 0
+    held = [sum(len(text) for text, density, place in found if place >= least and density < LINKS) for least in (0, 1, 2)]
+    within = next((least for least in (2, 1) if held[least] * 2 > held[0]), 0)  # what holds the bulk of the text
     labels = []
     for text, density, place in found:
         label = first_label(text, density)
