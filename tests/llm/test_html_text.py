@@ -47,6 +47,14 @@ def test_small_article_does_not_hide_the_text():
         assert got[:90] == [f"{GOOD} {n}" for n in range(90)]
 
 
+def test_article_in_an_unknown_language():
+    strange = " ".join(f"kissa{n} istui matolla koko päivän" for n in range(12))
+    short = "Kissa istui matolla."
+    for inside in (f"<p>{strange}</p><p>{strange}</p>", f"<p>{short}</p>" * 20):
+        page = f"<div>{GOOD}</div><article>{inside}</article><div>{' '.join(f'ilmoitus{n}' for n in range(13))}</div>"
+        assert set(op.main_text(page).split("\n")) == ({strange} if strange in inside else {short})
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<a", "<p class='x", "<!-- open", "<script>open", "a < b & c &amp d", "</p></div>", "<p>" * 3000])
 def test_broken_markup_ends(page):
     assert "\n" not in op.main_text(page)

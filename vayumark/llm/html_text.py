@@ -178,7 +178,10 @@ def main_text(page: str) -> str:
             label = -1 if place < within else max(label, 0) if density < LINKS else label
         labels.append(label)
     if 1 not in labels:  # stop words of no known language: length and links decide
-        labels = [1 if d < LINKS and len(LETTERS.findall(t)) >= SHORT else n for n, (t, d, _) in zip(labels, found, strict=True)]
+        labels = [
+            1 if place >= within and d < LINKS and len(LETTERS.findall(t)) >= SHORT else n
+            for n, (t, d, place) in zip(labels, found, strict=True)
+        ]
     before, last = [], (0, -len(labels) - 1)
     for n, label in enumerate(labels):
         last = (label, n) if label else last
