@@ -55,6 +55,13 @@ def test_article_in_an_unknown_language():
         assert set(op.main_text(page).split("\n")) == ({strange} if strange in inside else {short})
 
 
+def test_two_passes_inside_an_article():
+    promo = "Fresh offers weekly: discounts, coupons, bargains, gadgets, phones, laptops, cameras, shoes, watches, tickets, hotels"
+    text = f"<h1>Title</h1><p>By me</p><p>{GOOD}</p><p>One line</p><p>{MORE}</p>"
+    page = f"<article>{text}<p>{promo}</p><p>Buy now</p><p>{promo}</p></article>"
+    assert op.main_text(page).split("\n") == ["Title", "By me", GOOD, "One line", MORE]
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<a", "<p class='x", "<!-- open", "<script>open", "a < b & c &amp d", "</p></div>", "<p>" * 3000])
 def test_broken_markup_ends(page):
     assert "\n" not in op.main_text(page)

@@ -2,10 +2,12 @@
 
 A page is cut into blocks at block tags. Blocks inside menus, headers, footers,
 sidebars, notices, adverts, forms and comments are dropped by their containers.
-The first pass classifies the others by link density, length and the density of
-stop words: good, bad or undecided. In the second pass an undecided block takes
-the label of its nearest decided neighbours; between a good and a bad one at the
-same distance it takes the good one if it is in the page's article.
+If the page's articles, or its main part, hold the bulk of what is left, only the
+blocks in them are candidates. The first pass classifies the candidates by link
+density, length and the density of stop words: good, bad or undecided. In the
+second pass an undecided block takes the label of its nearest decided neighbours;
+between a good and a bad one at the same distance it takes the good one if it is
+in the page's article. Without any good block, length and links decide.
 """
 
 from __future__ import annotations
@@ -171,17 +173,12 @@ def main_text(page: str) -> str:
     found = blocks(page)
     held = [sum(len(text) for text, density, place in found if place >= least and density < LINKS) for least in (0, 1, 2)]
     within = next((least for least in (2, 1) if held[least] * 2 > held[0]), 0)  # what holds the bulk of the text
-    labels = []
-    for text, density, place in found:
-        label = first_label(text, density)
-        if within:  # the page says itself where its article is
-            label = -1 if place < within else max(label, 0) if density < LINKS else label
-        labels.append(label)
+    found = [block for block in found if block[2] >= within]
+    labels = [first_label(text, density) for text, density, _ in found]
     if 1 not in labels:  # stop words of no known language: length and links decide
-        labels = [
-            1 if place >= within and d < LINKS and len(LETTERS.findall(t)) >= SHORT else n
-            for n, (t, d, place) in zip(labels, found, strict=True)
-        ]
+        labels = [1 if d < LINKS and len(LETTERS.findall(t)) >= SHORT else n for n, (t, d, _) in zip(labels, found, strict=True)]
+    if within and 1 not in labels:  # nothing to inherit from: the article decides
+        labels = [n or 1 for n in labels]
     before, last = [], (0, -len(labels) - 1)
     for n, label in enumerate(labels):
         last = (label, n) if label else last
@@ -192,8 +189,8 @@ def main_text(page: str) -> str:
         label = labels[n]
         if not label:
             (left, i), (right, j) = before[n], after
-            label = left if n - i < j - n else right if n - i > j - n else max(left, right)
-            if within or label == 0:  # nothing else is decided, or the article holds it
+            label = left if n - i < j - n else right if n - i > j - n else max(left, right) if within else min(left, right)
+            if label == 0:  # nothing else is decided
                 label = 1
         kept[n] = label > 0
     return "\n".join(text for (text, _, _), good in zip(found, kept, strict=True) if good)
