@@ -49,6 +49,17 @@ def test_training_is_bounded_and_repeatable(labelled):
     assert (a.weights == b.weights).all() and (a.slope, a.shift) == (b.slope, b.shift)
 
 
+def test_repeated_rows_train_once(spark, labelled):
+    docs, labels = labelled
+    copies = docs.filter("doc_id = 4").crossJoin(spark.range(300)).drop("id")
+    a, b = op.train(docs, labels), op.train(docs.union(copies), labels)
+    assert (a.weights == b.weights).all() and (a.slope, a.shift) == (b.slope, b.shift)
+    texts = spark.createDataFrame([(4, words(5000 + n, 60)) for n in range(300)], "doc_id long, text string")
+    known = spark.createDataFrame([(4, 1), (7, 1)], "doc_id long, quality int")
+    assert op.labelled_rows(texts, known, 120).count() == 120
+    assert op.labelled_rows(texts.union(texts), known, 500).count() == 300
+
+
 def test_no_labels_no_model(spark, labelled):
     docs, labels = labelled
     assert op.train(docs, labels.limit(0)) is None

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vayumark.llm.common import among_smallest
+from vayumark.llm.common import among_smallest, stage
 
 #: Buckets of words, and as many of character trigrams.
 BUCKETS = 1 << 15
@@ -116,11 +116,22 @@ class Model:
         return float(sigmoid(np.array(self.slope * score + self.shift)))
 
 
+def labelled_rows(docs: DataFrame, known: DataFrame, most: int) -> DataFrame:
+    """doc_id, draw, text and quality of at most ``most`` rows: those with the smallest hashes among the different (doc_id, text) of ``known`` ids."""
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality")
+    rows = stage(rows.distinct().withColumn("draw", F.xxhash64("doc_id", "text")), "labelled")
+    count = rows.count()
+    if count > most:
+        chosen = rows.filter(among_smallest(F.col("draw"), most, F.lit(count))).select("doc_id", "draw").orderBy("draw", "doc_id").limit(most)
+        rows = rows.join(F.broadcast(chosen), ["doc_id", "draw"], "left_semi")
+    return rows.select("doc_id", "draw", "text", "quality")
+
+
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model | None:
     """Model from at most ``most`` labelled rows; None if the labels lack a class.
 
     ``labels`` has doc_id and quality (0 or 1). Ids with null or contradicting
-    labels are left out; repeated labels count once.
+    labels are left out; repeated labels count once, and so do rows equal in id and text.
     """
     known = (
         labels.filter("doc_id is not null and quality in (0, 1)")
@@ -135,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model |
         .limit(most)
         .drop("draw")
     )
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality")
+    sample = labelled_rows(docs, known, most)
 
     def sparse(batches):
         for batch in batches:
@@ -146,12 +157,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model |
                 columns.append(np.flatnonzero(full).astype(np.int32))
                 values.append(full[columns[-1]].astype(np.float32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("quality"), pa.array(columns, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
-                names=["doc_id", "quality", "columns", "values"],
+                [*(batch.column(c) for c in ("doc_id", "draw", "quality")), pa.array(columns, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
+                names=["doc_id", "draw", "quality", "columns", "values"],
             )
 
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("doc_id", kind="stable")
+        frame = frame.sort_values(["doc_id", "draw"], kind="stable")
         y = frame["quality"].to_numpy(float)
         hold = np.array([xxhash.xxh32_intdigest(str(i)) % 5 == 0 for i in frame["doc_id"]])
         if len(set(y[~hold])) < 2:
@@ -166,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model |
 
     kinds = dict(sample.dtypes)
     learned = (
-        sample.mapInArrow(sparse, f"doc_id {kinds['doc_id']}, quality {kinds['quality']}, columns array<int>, values array<float>")
+        sample.mapInArrow(sparse, f"doc_id {kinds['doc_id']}, draw long, quality {kinds['quality']}, columns array<int>, values array<float>")
         .withColumn("all", F.lit(1))
         .groupBy("all")
         .applyInPandas(learn, "weights binary, offset double, slope double, shift double")
