@@ -64,6 +64,21 @@ def test_ledger_skips_what_was_scanned(spark):
     assert op.scan(new, grown, newer)[0].count() == whole.filter(F.col("rank") < len(op.BASE)).count()
 
 
+def test_incremental_run_returns_old_and_new_blobs(spark):
+    old = documents(spark, TEXTS[:3])
+    new = documents(spark, [*TEXTS, (70, TEXTS[0][1])])  # with a new path of a known blob
+    first, ledger = op.scan_more(old, None, None, op.BASE)
+    more, grown = op.scan_more(new, ledger, first, op.RULES)
+    whole, _ = op.scan(new)
+    assert found(new, more) == found(new, whole)
+    assert more.distinct().count() == more.count() == whole.count()
+    same, still = op.scan_more(documents(spark, [(71, TEXTS[1][1])]), grown, more)
+    assert same.count() == more.count() and still.count() == grown.count()
+    newer = tuple(op.Rule(r.kind, r.pattern, r.least, r.group, 2) for r in op.RULES)
+    again, _ = op.scan_more(new, grown, more, newer[::-1])
+    assert again.drop("rank").exceptAll(whole.drop("rank")).count() == 0 and again.count() == whole.count()
+
+
 def test_redaction(spark):
     texts = [*TEXTS, (8, "nothing here"), (9, f"api_key={HEX}")]
     docs = documents(spark, texts)

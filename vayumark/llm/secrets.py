@@ -3,7 +3,8 @@
 Every version is addressed by the digest of its content, so a content that occurs
 under many paths or in many versions is one blob. A ledger names the (blob, rule,
 rule version) triples that were scanned before; only the others are matched.
-Findings belong to blobs and are joined back to every path.
+Findings belong to blobs and are joined back to every path. An incremental run keeps
+them beside the ledger and joins the union of known and new ones.
 
 Only DataFrame expressions are used. Spark has no function for the places of
 all matches, but matches and the pieces between them give them: a match starts
@@ -127,6 +128,29 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     return findings, scanned if ledger is None else ledger.select("blob", "kind", "version").union(scanned)
 
 
+def scan_more(versions: DataFrame, ledger: DataFrame | None, known: DataFrame | None, rules: tuple[Rule, ...] = RULES):
+    """Findings of all blobs of the new ledger, known and new, and the new ledger.
+
+    ``ledger`` and ``known`` are what an earlier run returned (both None in the first
+    run); only what the ledger lacks is matched. Kinds matched anew, such as those of a
+    newer rule version, replace the known findings of their blob; kinds without a rule
+    are dropped from the findings. ``spans_by_path`` with these findings
+    gives the spans of every path, whether its blob is old or new.
+    """
+    findings, grown = scan(versions, ledger, rules)
+    if (ledger is None) != (known is None):
+        raise ValueError("ledger and findings belong together")
+    if ledger is None:
+        return findings, grown
+    # a blob's kind with more entries than before was matched anew
+    done = ledger.groupBy("blob", "kind").agg(F.count("*").alias("before"))
+    now = grown.groupBy("blob", "kind").agg(F.count("*").alias("after"))
+    same = done.join(now, ["blob", "kind"]).filter("before = after").select("blob", "kind")
+    rank = F.create_map(*(F.lit(x) for n, r in enumerate(rules) for x in (r.kind, n)))
+    kept = known.join(same, ["blob", "kind"], "left_semi").withColumn("rank", rank[F.col("kind")]).filter("rank is not null")
+    return kept.select(*findings.columns).union(findings), grown
+
+
 def due_type() -> str:
     return "struct<kind:string,version:int>"
 
