@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .ordered import ranked_values
 from .aqi import day_id
 
 SUMMARY_DAYS = 30
@@ -52,15 +53,9 @@ def _last_day(fact: DataFrame) -> Column:
 def global_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """Rank by ``value`` descending, nulls last, ties sharing a rank.
 
-    A window over everything would bring all rows to one task. Only the distinct
-    values are ranked that way, after counting; an index has at most 501 of them.
+    Distinct values are counted and ranked in range partitions, whatever their number.
     """
-    per_value = df.groupBy(value).agg(F.count("*").alias("_n"))
-    better = W.orderBy(F.desc_nulls_last(value)).rowsBetween(W.unboundedPreceding, -1)
-    ranked = per_value.select(
-        F.col(value).alias("_value"),
-        (F.coalesce(F.sum("_n").over(better), F.lit(0)) + 1).cast("int").alias(name),
-    )
+    ranked = ranked_values(df, value, name).select(F.col(value).alias("_value"), F.col(name).cast("int").alias(name))
     same = F.col(value).eqNullSafe(F.col("_value"))
     return df.join(ranked, same, "left").drop("_value")
 
