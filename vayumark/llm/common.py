@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vayumark.session import local_scratch, stage
 
-__all__ = ["among_smallest", "components", "keyed", "prepare", "stage", "table"]
+__all__ = ["among_smallest", "attach", "components", "keyed", "prepare", "stage", "table"]
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,6 +44,17 @@ def keyed(rows: DataFrame, *columns, by: str = "doc_id", value: str = "text") ->
     return rows.select(key.alias("key"), *columns)
 
 
+def attach(rows: DataFrame, totals: DataFrame, keys: list[str], salt: str = "salt") -> DataFrame:
+    """``rows`` joined with the one row of ``totals`` that has their keys (not null).
+
+    ``rows`` carry a salt. Each pair of key and salt that occurs fetches the totals
+    once, and the rows are joined by both, so a key that holds a third of all rows is
+    spread over as many groups as there are salts.
+    """
+    wanted = rows.select(*keys, salt).distinct()
+    return rows.join(wanted.join(totals, keys), [*keys, salt])
+
+
 def among_smallest(draw, most: int, count):
     """Whether the 64-bit hash ``draw`` is so small that about 2 x ``most`` of ``count`` rows pass.
 

@@ -93,8 +93,60 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+# The check sum of an id is taken bit by bit over its digits: a byte is mixed in, then eight shifts (-1).
+PREFIX_TRIE = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS opens, max(place) AS own,
+    xor(list_reduce(
+      list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda d: list_concat([CAST(ascii(d) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+      lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END), 4294967295) % 6 AS h
+  FROM t GROUP BY conv_id),
+g AS (SELECT c.*, least(c.h, coalesce(o.own, 0)) AS given FROM c LEFT JOIN c AS o ON o.conv_id = c.opens),
+r AS (
+  SELECT g.conv_id, t.place AS depth, t.role, t.text FROM g JOIN t ON t.conv_id = g.opens AND t.place <= g.given
+  UNION ALL
+  SELECT g.conv_id, g.given + t.place - g.h, t.role, t.text FROM g JOIN t ON t.conv_id = g.conv_id AND t.place > g.h
+  UNION ALL SELECT conv_id, 0, '', '' FROM g),
+k AS (
+  SELECT conv_id, depth, length(text) AS chars, max(depth) OVER (PARTITION BY conv_id) AS turns,
+    sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+      OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS key
+  FROM r),
+p AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM k),
+n AS (
+  SELECT depth, key, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = turns) AS ends
+  FROM p GROUP BY depth, key),
+f AS (
+  SELECT n.*, up.conv_id AS parent_conv_id, (SELECT count(*) FROM n AS d WHERE d.depth = n.depth + 1 AND d.parent = n.key) AS n_children
+  FROM n LEFT JOIN n AS up ON up.depth = n.depth - 1 AND up.key = n.parent),
+s AS (
+  SELECT p.depth, p.key, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.chars) AS saved
+  FROM f JOIN p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY p.depth, p.key)
+SELECT f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM f JOIN s ON s.depth = f.depth AND s.key = f.key
+"""
+
+EXACT_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS size,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER stays AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER stays = 1 AS kept, text_sha256
+FROM d WINDOW stays AS (PARTITION BY text_sha256 ORDER BY size DESC, doc_id NULLS LAST)
+"""
+
 ORACLES = {
     "op4_chat_formatting": CHAT_FORMATTING,
     "op7_secret_scans": _secret_scans(),
     "op8_source_mixing": SOURCE_MIXING,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op13_exact_dedup": EXACT_DEDUP,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vayumark.llm import chat, embedding_dedup, html_text, langid, mixing, packing, quality, secrets, simhash, suffix_dedup
+from vayumark.llm import chat, embedding_dedup, exact_dedup, html_text, langid, mixing, packing, prefix_trie, quality, secrets, simhash, suffix_dedup
 from vayumark.llm.common import table
 from vayumark.llm.oracles import ORACLES
 
@@ -93,6 +93,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(marked, model, "doc_id", "held_out").drop("langs")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.classes(table(spark, sf_dir, "documents"), "doc_id")
+    digits = F.lower(F.hex("digest")).alias("text_sha256")
+    return found.select("row.doc_id", "keep_id", "group_size", "kept", digits)
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -104,4 +114,6 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_main_text": op9_main_text,
     "op10_language_id": op10_language_id,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_exact_dedup": op13_exact_dedup,
 }
