@@ -133,6 +133,27 @@ SELECT f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, s.n_leaves
 FROM f JOIN s ON s.depth = f.depth AND s.key = f.key
 """
 
+HARD_NEGATIVES = """
+WITH r AS (
+  SELECT row_number() OVER () AS place, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: coalesce(NOT isfinite(x), true))) = 0),
+s AS (
+  SELECT a.place AS anchor, a.vec_id AS anchor_id, b.place, b.vec_id, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM r AS a JOIN r AS b ON a.place <> b.place WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, place) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+  CAST(row_number() OVER near AS INTEGER) AS rank
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+WINDOW near AS (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id NULLS LAST, s.place)
+QUALIFY row_number() OVER near <= 5
+"""
+
 EXACT_DEDUP = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS size,
@@ -148,5 +169,6 @@ ORACLES = {
     "op7_secret_scans": _secret_scans(),
     "op8_source_mixing": SOURCE_MIXING,
     "op11_prefix_trie": PREFIX_TRIE,
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op13_exact_dedup": EXACT_DEDUP,
 }

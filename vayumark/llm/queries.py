@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vayumark.llm import chat, embedding_dedup, exact_dedup, html_text, langid, mixing, packing, prefix_trie, quality, secrets, simhash, suffix_dedup
+from vayumark.llm import chat, embedding_dedup, exact_dedup, hard_negatives, html_text, langid, mixing, packing, prefix_trie, quality, secrets, simhash, suffix_dedup
 from vayumark.llm.common import table
 from vayumark.llm.oracles import ORACLES
 
@@ -97,6 +97,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.classes(table(spark, sf_dir, "documents"), "doc_id")
     digits = F.lower(F.hex("digest")).alias("text_sha256")
@@ -115,5 +119,6 @@ QUERIES = {
     "op9_main_text": op9_main_text,
     "op10_language_id": op10_language_id,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_exact_dedup": op13_exact_dedup,
 }
