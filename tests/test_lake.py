@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vayumark.operators.upsert import align_schema, conform, upsert_counts, upsert_latest
+from vayumark.plans import landing
 from vayumark.plans.landing import land, merge_into_lake, require_finished, stamp_lineage
 from vayumark.schemas import RAW
 from vayumark.sources import (
@@ -15,6 +16,8 @@ from vayumark.sources import (
     read_raw,
 )
 
+from vayumark.sources.lake import late_days, ledger
+
 from .readings import day_rows, raw
 
 D1, D2 = date(2025, 11, 1), date(2025, 11, 2)
@@ -133,3 +136,79 @@ def test_lineage_is_in_utc_and_whole_seconds(spark):
         assert tuple(row) == ("api", "20250108T190005Z", 0)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def files(lake):
+    """Data files of a lake by folder, with what identifies their contents."""
+    return {str(p.relative_to(lake)): p.stat().st_mtime_ns for p in lake.rglob("*.parquet") if "_ledger" not in p.parts}
+
+
+def test_reloading_one_of_many_cities_rewrites_its_bucket_alone(spark, tmp_path):
+    lake = tmp_path / "lake"
+    many = [row for n in range(300) for row in day_rows(D1, range(2), city=f"c{n}") + day_rows(D2, range(2), city=f"c{n}")]
+    land(raw(spark, many, "r1"), str(lake), buckets=16)
+    before = files(lake)
+    assert len({f.rsplit("/", 1)[0] for f in before}) == 32
+    land(raw(spark, day_rows(D2, range(3), city="c7"), "r2"), str(lake))
+    after = files(lake)
+    gone = {f.rsplit("/", 1)[0] for f in before.keys() - after.keys()}
+    new = {f.rsplit("/", 1)[0] for f in after.keys() - before.keys()}
+    assert gone == new and len(new) == 1 and next(iter(new)).startswith(f"date={D2}/bucket=")
+    got = slices(spark, str(lake))
+    assert len(got) == 600 and got[(D2, "c7", "r2")] == 3 and got[(D1, "c7", "r1")] == 2
+    assert merge_into_lake(raw(spark, day_rows(D1, range(4), city="c9"), "m"), str(lake)) == (2, 2)
+    assert len(after.keys() - files(lake).keys()) == 1
+    assert set(read_raw(spark, str(lake)).columns) == set(RAW.names)
+    assert read_days(spark, str(lake), [D1]).count() == 602
+    with pytest.raises(ValueError, match="16 bucket"):
+        land(raw(spark, many), str(lake), buckets=4)
+
+
+def test_the_ledger_names_days_and_buckets_of_every_load(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    land(raw(spark, day_rows(D1) + day_rows(D2), "r1"), lake)
+    land(raw(spark, day_rows(D1, range(6), city="pune"), "r2"), lake)
+    merge_into_lake(raw(spark, day_rows(D2, range(3), city="pune"), "r3"), lake)
+    rows = ledger(spark, lake).collect()
+    assert {(r.date, r.run_id, r.rows, r.state) for r in rows} == {
+        (D1, "r1", 24, "done"), (D2, "r1", 24, "done"), (D1, "r2", 6, "begun"), (D1, "r2", 6, "done"),
+        (D2, "r3", 3, "begun"), (D2, "r3", 3, "done"),
+    }
+    times = {(r.run_id, r.state): r.at for r in rows}
+    assert late_days(spark, lake, D2, times["r1", "done"]) == [D1]
+    assert late_days(spark, lake, date(2026, 1, 1), times["r2", "done"]) == [D1, D2]
+    assert late_days(spark, lake, D2, times["r3", "done"]) == []
+
+
+def test_a_load_that_died_keeps_its_days_late_until_one_ends(spark, tmp_path, monkeypatch):
+    lake = str(tmp_path / "lake")
+    land(raw(spark, day_rows(D1) + day_rows(D2), "r1"), lake)
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(landing, "_write_cells", die)
+    with pytest.raises(RuntimeError, match="killed"):
+        land(raw(spark, day_rows(D1), "r2"), lake)
+    monkeypatch.undo()
+    assert late_days(spark, lake, D2, datetime(2100, 1, 1)) == [D1]
+    land(raw(spark, day_rows(D1), "r2"), lake)
+    assert late_days(spark, lake, D2, datetime(2100, 1, 1)) == []
+
+
+def test_a_lake_without_a_ledger_is_asked_for_write_times(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    placed = raw(spark, day_rows(D1) + day_rows(D2)).withColumn("date", F.to_date("observed_at"))
+    placed.write.partitionBy("date").parquet(lake)
+    assert late_days(spark, lake, D2, datetime(2000, 1, 1)) == [D1]
+    assert late_days(spark, lake, D2, datetime(2100, 1, 1)) == []
+    land(raw(spark, day_rows(D1, range(3)), "r2"), lake)
+    assert slices(spark, lake) == {(D1, "delhi", "r2"): 3, (D2, "delhi", "t"): 24}
+
+
+def test_rows_without_a_time_are_kept_apart_by_city(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    lost = raw(spark, day_rows(D1, [0]) + day_rows(D1, [1], city="pune")).withColumn("observed_at", F.lit(None).cast("timestamp_ntz"))
+    land(lost, lake)
+    land(lost.filter("city_id = 'pune'").withColumn("run_id", F.lit("r2")), lake)
+    assert {(r.city_id, r.run_id) for r in read_raw(spark, lake).collect()} == {("delhi", "t"), ("pune", "r2")}

@@ -1,4 +1,8 @@
-"""Building the tables: the AQI fact, incrementally or in full, and the marts."""
+"""Building the tables: the AQI fact, incrementally or in full, and the marts.
+
+All tables of a run are published together (see ``tables``): they are written, checked
+as written, and put in force by one snapshot.
+"""
 
 from __future__ import annotations
 
@@ -19,9 +23,8 @@ from ..operators.staging import stage_hourly
 from ..operators.upsert import align_schema
 from ..schemas import FACT
 from ..session import CheckFailure, scratch_run, stage
-from ..sources.lake import open_table, raw_since, read_raw
-from . import audit
-from .landing import write_by_day
+from ..sources.lake import late_days, open_table, read_raw
+from . import audit, tables
 
 LOOKBACK_DAYS = 3
 CONTEXT_DAYS = 7
@@ -34,10 +37,19 @@ TAIL = T.StructType(
     ]
 )
 BUILDS = T.StructType(
-    [T.StructField("began_at", T.TimestampType()), T.StructField("elapsed_s", T.DoubleType())]
+    [
+        T.StructField("began_at", T.TimestampType()),
+        T.StructField("elapsed_s", T.DoubleType()),
+        T.StructField("freshness", T.StringType()),
+        # days older than the run computed that the lake changed, and whether they were computed again
+        T.StructField("late_days", T.ArrayType(T.DateType())),
+        T.StructField("late_recomputed", T.BooleanType()),
+    ]
 )
+FACT_TABLE, TAIL_TABLE = "daily_aqi", "daily_aqi_tail"
 # rows before a day that its 7-row mean looks at
 TREND_ROWS = 6
+TRENDS = ("aqi_change_vs_prev_day", "aqi_7d_avg")
 
 
 class AuditFailed(CheckFailure):
@@ -61,9 +73,10 @@ class Bounds:
     newest: date | None = field(default=None, compare=False)
 
 
-def read_fact(spark: SparkSession, path: str, schema: T.StructType = FACT) -> DataFrame:
-    """The fact table; columns that older files lack are null."""
-    return spark.read.schema(schema).parquet(path)
+def read_fact(spark: SparkSession, root: str, since: date | None = None) -> DataFrame:
+    """The fact in force, optionally from a day on; columns that older days lack are null."""
+    fact = tables.read(spark, root, FACT_TABLE, since)
+    return spark.createDataFrame([], FACT) if fact is None else fact
 
 
 def incremental_bounds(
@@ -73,7 +86,10 @@ def incremental_bounds(
 
     The write bound includes its day: ``lookback + 1`` existing days are rewritten.
     """
-    last = target.agg(F.max("observed_date")).first()[0]
+    return bounds_before(target.agg(F.max("observed_date")).first()[0], lookback, context)
+
+
+def bounds_before(last: date | None, lookback: int = LOOKBACK_DAYS, context: int = CONTEXT_DAYS) -> Bounds | None:
     if last is None:
         return None
     return Bounds(last - timedelta(days=lookback + context), last - timedelta(days=lookback), last)
@@ -97,13 +113,15 @@ def _last_rows(fact: DataFrame, before: date) -> DataFrame:
     )
 
 
-def _tail_path(path: str) -> str:
-    return f"{path.rstrip('/')}_tail"
+def newest_day(publication: tables.Publication) -> date | None:
+    """Last day of the fact, from the snapshot alone."""
+    fact = publication.tables.get(FACT_TABLE)
+    return fact and fact.newest_day()
 
 
-def read_tail(spark: SparkSession, path: str, bounds: Bounds) -> DataFrame | None:
+def read_tail(publication: tables.Publication, bounds: Bounds) -> DataFrame | None:
     """Last rows before the read bound as the run before kept them; None if it kept none for this bound."""
-    tail = open_table(spark, _tail_path(path), TAIL)
+    tail = publication.read(TAIL_TABLE)
     if tail is None:
         return None
     kept = tail.agg(F.min("before"), F.max("before")).first()
@@ -111,18 +129,22 @@ def read_tail(spark: SparkSession, path: str, bounds: Bounds) -> DataFrame | Non
 
 
 def tail_after(
-    rows: DataFrame, fact: DataFrame | None, bounds: Bounds | None, tail: DataFrame | None, lookback: int, context: int
+    fact: DataFrame,
+    newest: date | None,
+    bounds: Bounds | None,
+    tail: DataFrame | None,
+    lookback: int = LOOKBACK_DAYS,
+    context: int = CONTEXT_DAYS,
 ) -> DataFrame | None:
-    """Last rows of every city before the next run's read bound, from those of this run and the days since.
+    """Last rows of every city before the next run's read bound, of the fact as it is now.
 
-    The history is scanned only if there is no tail to go on from.
+    They come from those of this run and the days since; the history is scanned only
+    if there is no tail to go on from. ``newest`` is the fact's last day.
     """
-    after = fact_after(rows, fact, bounds).select("city_id", "observed_date", "aqi")
-    newest = rows.agg(F.max("observed_date")).first()[0]
-    newest = max(d for d in (newest, bounds and bounds.newest, date.min) if d)
-    if newest == date.min:
+    if newest is None:
         return None
     before = newest - timedelta(days=lookback + context)
+    after = fact.select("city_id", "observed_date", "aqi")
     if tail is not None:
         after = tail.unionByName(after.filter(F.col("observed_date") >= F.lit(bounds.read_from)))
     return _last_rows(after, before).withColumn("before", F.lit(before))
@@ -157,80 +179,85 @@ def daily_from(hourly: DataFrame, first_day: date | None) -> DataFrame:
     return daily if first_day is None else daily.filter(F.col("observed_date") >= F.lit(first_day))
 
 
-def _stored_schema(spark: SparkSession, path: str, days: set[date]) -> T.StructType:
-    """All columns found in the folders of the given days."""
-    folders = sorted(f"{path}/observed_date={day.isoformat()}" for day in days)
-    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders).schema
+def put_fact(
+    publication: tables.Publication, rows: DataFrame, *, replace_all: bool = False, days: list[date] | None = None
+) -> DataFrame:
+    """Write rows into the fact by key and return the fact as it will be.
 
+    Keys of the touched days that ``rows`` lack are kept, columns new to the table are
+    appended to it. Nothing is overwritten: touched days get folders of the new version.
+    ``days`` are the days of ``rows`` if the caller knows them.
+    """
+    stored = None if replace_all else publication.read(FACT_TABLE)
+    if stored is None:
+        return publication.put_days(FACT_TABLE, rows, "observed_date", ["city_id"], replace_all=True)
+    rows = stage(rows, "fact-new")
+    if days is None:
+        # the calendar bounds what is collected
+        days = [r[0] for r in rows.select("observed_date").distinct().collect()]
+    merged = align_schema(rows, stored.schema)
+    others = stored.filter(F.col("observed_date").isin(days)).join(rows.select("daily_aqi_id"), "daily_aqi_id", "left_anti")
+    merged = merged.unionByName(others.select(*stored.columns), allowMissingColumns=True)
+    return publication.put_days(FACT_TABLE, merged, "observed_date", ["city_id"])
 
-def write_fact(
-    rows: DataFrame, path: str, stored: DataFrame | None = None, newest: date | None = None
-) -> None:
-    """Merge rows into the fact by key, keeping other keys of the touched days.
 
-    Columns new to the table are appended to it. Replaced days are staged first
-    because they are read and overwritten by the same step. ``stored`` and
-    ``newest`` are the table at ``path`` and its last day if the caller knows them.
-    """
+def write_fact(rows: DataFrame, root: str) -> None:
+    """Publish rows into the fact, by key."""
     spark = rows.sparkSession
-    stored = stored if stored is not None else open_table(spark, path, FACT)
-    last = newest or (None if stored is None else stored.agg(F.max("observed_date")).first()[0])
-    if last is None:
-        write_by_day(rows, path, "observed_date", ["city_id"], replace_all=True)
-        return
-    rows = stage(rows, "fact-new")
-    # the calendar bounds both the number of days and what is collected here
-    days = [r[0] for r in rows.select("observed_date").distinct().collect()]
-    touched = stored.filter(F.col("observed_date").isin(days)).select("observed_date").distinct()
-    known = _stored_schema(spark, path, {last, *(r[0] for r in touched.collect())})
-    merged = align_schema(rows, known)
-    if set(merged.columns) != set(stored.columns):
-        stored = read_fact(spark, path, merged.schema)
-    others = (
-        stored.filter(F.col("observed_date").isin(days))
-        .join(rows.select("daily_aqi_id"), "daily_aqi_id", "left_anti")
-        .select(*merged.columns)
-    )
-    write_by_day(
-        merged.unionByName(stage(others, "fact-keep")), path, "observed_date", ["city_id"]
-    )
+    with scratch_run(spark, "write-fact"), tables.Publication(spark, root) as publication:
+        put_fact(publication, rows)
+        publication.commit(**publication.before.notes)
 
 
-def fact_rows(
+def put_rows(
+    publication: tables.Publication,
     daily: DataFrame,
     breakpoints: DataFrame,
-    fact: DataFrame | None,
     bounds: Bounds | None,
     tail: DataFrame | None = None,
     **limits: int,
 ) -> DataFrame:
-    """The rows that a run writes to the fact, computed and kept: all, or those in bounds."""
+    """Compute and write the rows of a run: all, or those in bounds. Returns the fact as it will be."""
+    fact = publication.read(FACT_TABLE)
     if fact is None or bounds is None:
-        return stage(daily_aqi(daily, breakpoints, **limits), "fact")
-    return stage(incremental_rows(daily, fact, breakpoints, bounds, tail, **limits), "fact")
-
+        return put_fact(publication, daily_aqi(daily, breakpoints, **limits), replace_all=True)
+    return put_fact(publication, incremental_rows(daily, fact, breakpoints, bounds, tail, **limits))
 
-def fact_after(rows: DataFrame, fact: DataFrame | None, bounds: Bounds | None) -> DataFrame:
-    """The fact as it will be once ``rows`` are written."""
-    if fact is None or bounds is None:
-        return rows
-    open_days = F.col("observed_date") >= F.lit(bounds.write_from)
-    kept = fact.filter(open_days).join(rows.select("daily_aqi_id"), "daily_aqi_id", "left_anti")
-    return rows.unionByName(fact.filter(~open_days)).unionByName(kept.select(*rows.columns))
 
+def put_late_days(
+    publication: tables.Publication, hourly: DataFrame, breakpoints: DataFrame, late: list[date], **limits: int
+) -> DataFrame:
+    """Compute late days again, in place of the rows they have in the fact.
 
-def publish_fact(rows: DataFrame, path: str, fact: DataFrame | None, bounds: Bounds | None) -> None:
-    """Write staged rows: the whole fact, or the part in bounds."""
-    if fact is None or bounds is None:
-        write_by_day(rows, path, "observed_date", ["city_id"], replace_all=True)
-    else:
-        write_fact(rows, path, fact, bounds.newest)
+    ``hourly`` holds each late day with the day before and after: hours of a late day
+    are in 8-hour windows of the next morning, and its own mornings look at the evening
+    before. Trends change on those days and on the six rows of each city that follow;
+    to find these, only keys and index of the fact are scanned.
+    """
+    changed = sorted({d + timedelta(days=n) for d in late for n in (0, 1)})
+    fact = publication.read(FACT_TABLE)
+    daily = pollutant_daily(hourly).filter(F.col("observed_date").isin(changed))
+    scored = stage(score_days(daily, breakpoints, **limits), "late-days")
+    others = fact.join(scored.select("daily_aqi_id"), "daily_aqi_id", "left_anti")
+    narrow = scored.select("city_id", "observed_date", "aqi", F.lit(True).alias("_new")).unionByName(
+        others.select("city_id", "observed_date", "aqi", F.lit(False).alias("_new"))
+    )
+    cities = narrow.join(scored.select("city_id").distinct(), "city_id", "left_semi")
+    near = W.partitionBy("city_id").orderBy("observed_date").rowsBetween(-TREND_ROWS, 0)
+    trends = with_trends(cities.withColumn("_moved", F.max("_new").over(near))).filter("_moved")
+    trends = stage(trends.select("city_id", "observed_date", *TRENDS), "late-trends")
+    columns = [c for c in FACT.names if c not in (*TRENDS, "updated_at")]
+    moved = scored.select(*columns).unionByName(
+        others.select(*columns).join(trends.select("city_id", "observed_date"), ["city_id", "observed_date"], "left_semi")
+    )
+    rows = moved.join(trends, ["city_id", "observed_date"]).withColumn("updated_at", F.current_timestamp())
+    return put_fact(publication, rows.select(*FACT.names))
 
 
 def build_fact(
     spark: SparkSession,
     lake: str,
-    path: str,
+    root: str,
     breakpoints: DataFrame,
     *,
     lookback: int = LOOKBACK_DAYS,
@@ -244,33 +271,24 @@ def build_fact(
     only the look-back and newer days are; days before it change only through a
     full refresh, which a back-fill therefore needs.
     """
-    fact = None if full_refresh else open_table(spark, path, FACT)
-    bounds = None if fact is None else incremental_bounds(fact, lookback, context)
-    first_day = bounds and bounds.read_from
-    hourly = stage_hourly(raw_from(spark, lake, first_day))
-    tail = bounds and read_tail(spark, path, bounds)
-    with scratch_run(spark, "fact"):
-        rows = fact_rows(daily_from(hourly, first_day), breakpoints, fact, bounds, tail, **limits)
-        after = tail_after(rows, fact, bounds, tail, lookback, context)
-        after = after and stage(after, "tail")
-        publish_fact(rows, path, fact, bounds)
+    with scratch_run(spark, "fact"), tables.Publication(spark, root) as publication:
+        bounds = None if full_refresh else bounds_before(newest_day(publication), lookback, context)
+        first_day = bounds and bounds.read_from
+        hourly = stage_hourly(raw_from(spark, lake, first_day))
+        tail = bounds and read_tail(publication, bounds)
+        fact = put_rows(publication, daily_from(hourly, first_day), breakpoints, bounds, tail, **limits)
+        after = tail_after(fact, newest_day(publication), bounds, tail, lookback, context)
         if after is not None:
-            overwrite(after, _tail_path(path))
-
+            publication.put(TAIL_TABLE, after)
+        publication.commit(**publication.before.notes)
 
-def overwrite(rows: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path`` by staged rows and return the table."""
-    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write a mart as a table and return the table.
-
-    The rows are computed and kept before the old table is deleted.
-    """
-    with scratch_run(df.sparkSession, "mart"):
-        return overwrite(stage(df, "mart"), path)
+def materialize(df: DataFrame, root: str, name: str) -> DataFrame:
+    """Publish a mart as a table and return the table; readers see the old one until then."""
+    with tables.Publication(df.sparkSession, root) as publication:
+        written = publication.put(name, df)
+        publication.commit(**publication.before.notes)
+    return written
 
 
 def require_pass(results: DataFrame) -> DataFrame:
@@ -303,16 +321,22 @@ def audit_then_publish(
     return results
 
 
-def last_pass(spark: SparkSession, root: str) -> datetime | None:
-    """When the last build began whose checks all passed."""
-    runs = open_table(spark, f"{root}/builds", BUILDS)
-    return None if runs is None else runs.agg(F.max("began_at")).first()[0]
+def last_pass(snapshot: tables.Snapshot | None) -> datetime | None:
+    """When the build began that wrote the snapshot in force; all its checks passed."""
+    began = snapshot and snapshot.notes.get("began_at")
+    return began and datetime.fromisoformat(began)
+
+
+def read_builds(spark: SparkSession, root: str) -> DataFrame:
+    """One row for each build that passed: when, how long, freshness, late days."""
+    builds = open_table(spark, f"{root}/builds", BUILDS)
+    return spark.createDataFrame([], BUILDS) if builds is None else builds
 
 
-def require_fresh(raw: DataFrame, now: datetime | None = None) -> None:
-    status = quality.freshness(raw, now).first()
-    if status["status"] == "error":
-        raise StaleInput(f"the newest readings were loaded at {status['max_loaded_at']}")
+def late_days_reported(spark: SparkSession, root: str) -> DataFrame:
+    """Days that the last build found changed in the lake, and whether it computed them again."""
+    last = read_builds(spark, root).agg(F.max_by(F.struct("late_days", "late_recomputed"), "began_at").alias("last"))
+    return last.select(F.explode("last.late_days").alias("observed_date"), F.col("last.late_recomputed").alias("recomputed"))
 
 
 def build(
@@ -323,56 +347,64 @@ def build(
     breakpoints: DataFrame,
     *,
     full_refresh: bool = False,
+    recompute_late: bool = False,
     today: date | None = None,
     now: datetime | None = None,
 ) -> DataFrame:
     """Build and audit every layer in dependency order; returns the check results.
 
-    All tables are computed, staged and checked before the first one is written: a
-    failed check stops the run and leaves every table as it was. Hourly and daily
-    rows have several consumers here, so each is computed once.
-
-    An incremental run computes the look-back with its context. Its audit sees
-    that and every lake file written since the last build that passed, however old
-    its day is; without such a build it sees the whole lake. The fact is audited whole.
-    If the tables are built but the newest readings are too old, ``StaleInput`` is raised.
+    Tables are written to folders of a new version and checked there; one snapshot
+    puts all of them in force at the end. A failed check, or a run that dies, leaves
+    readers with the tables they had. Hourly and daily rows have several consumers here,
+    so each is computed once.
+
+    An incremental run computes the look-back with its context. Its audit sees that
+    and the days that were landed since the last build that passed, however old they
+    are; no other folder of the lake is opened. Such late days are recorded with the
+    build, and with ``recompute_late`` computed again, with the trends of the rows
+    after them. The fact is audited whole. If the tables are built but the newest
+    readings are too old, ``StaleInput`` is raised; whether they pass, or should be
+    looked at, is recorded with the build.
     """
     began = spark.range(1).select(F.current_timestamp().alias("began_at")).first()["began_at"]
-    fact_path = f"{root}/daily_aqi"
-    built = None if full_refresh else open_table(spark, fact_path, FACT)
-    bounds = None if built is None else incremental_bounds(built)
-    first_day = bounds and bounds.read_from
-
-    with scratch_run(spark, "build"):
+    with scratch_run(spark, "build"), tables.Publication(spark, root) as publication:
+        bounds = None if full_refresh else bounds_before(newest_day(publication))
+        first_day = bounds and bounds.read_from
         first_read = first_day and first_day - timedelta(days=1)
-        raw = raw_since(spark, lake, first_read, None if full_refresh else last_pass(spark, root))
+        since = last_pass(publication.before)
+        late = late_days(spark, lake, first_read, since) if first_read and since else []
+        around = [d + timedelta(days=n) for d in late for n in (-1, 0, 1)] if recompute_late else late
+        # a fact without a build that passed was never audited with its lake: see all of it
+        raw = read_raw(spark, lake, first_read if since else None, around)
         raw, source_results = quality.observed_results("raw", raw, audit.source_rows())
         hourly = stage(stage_hourly(raw), "hourly")
         results = [require_pass(source_results())]
         results.append(require_pass(audit.staging_checks(hourly, cities)))
         daily = stage(daily_from(hourly, first_day), "daily")
         results.append(require_pass(audit.daily_checks(daily)))
-        dim = stage(marts.dim_city(cities), "dim")
+        dim = publication.put("dim_city", marts.dim_city(cities))
         results.append(require_pass(audit.dim_checks(dim)))
-        tail = bounds and read_tail(spark, fact_path, bounds)
-        rows = fact_rows(daily, breakpoints, built, bounds, tail)
-        fact = fact_after(rows, built, bounds)
+        tail = bounds and read_tail(publication, bounds)
+        if late and recompute_late:
+            put_late_days(publication, hourly, breakpoints, late)
+            tail = None
+        fact = put_rows(publication, daily, breakpoints, bounds, tail)
         results.append(require_pass(audit.fact_checks(fact, dim, today)))
-        summary = stage(marts.city_summary(fact, dim), "summary")
+        summary = publication.put("city_summary", marts.city_summary(fact, dim))
         results.append(require_pass(audit.summary_checks(summary)))
-        shifts = stage(marts.level_shifts(fact), "shifts")
+        shifts = publication.put("level_shifts", marts.level_shifts(fact))
         results.append(require_pass(audit.shift_checks(shifts, dim)))
-
-        after = tail_after(rows, built, bounds, tail, LOOKBACK_DAYS, CONTEXT_DAYS)
-        after = after and stage(after, "tail")
-
-        overwrite(dim, f"{root}/dim_city")
-        publish_fact(rows, fact_path, built, bounds)
+        after = tail_after(fact, newest_day(publication), bounds, tail)
         if after is not None:
-            overwrite(after, _tail_path(fact_path))
-        overwrite(summary, f"{root}/city_summary")
-        overwrite(shifts, f"{root}/level_shifts")
-        elapsed = (F.current_timestamp().cast("double") - F.lit(began).cast("double")).alias("elapsed_s")
-        spark.range(1).select(F.lit(began).alias("began_at"), elapsed).write.mode("append").parquet(f"{root}/builds")
-    require_fresh(read_raw(spark, lake, first_read), now)
+            publication.put(TAIL_TABLE, after)
+        fresh = quality.freshness(read_raw(spark, lake, first_read), now).first()
+        publication.commit(began_at=began.isoformat())
+
+    elapsed = (F.current_timestamp().cast("double") - F.lit(began).cast("double")).alias("elapsed_s")
+    run = spark.createDataFrame(
+        [(began, None, fresh["status"], late, bool(late) and recompute_late)], BUILDS
+    )
+    run.withColumn("elapsed_s", elapsed).select(*BUILDS.names).write.mode("append").parquet(f"{root}/builds")
+    if fresh["status"] == "error":
+        raise StaleInput(f"the newest readings were loaded at {fresh['max_loaded_at']}")
     return reduce(DataFrame.unionByName, results)

@@ -81,16 +81,49 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the scratch space, wherever it is stored."""
     if not path.startswith(f"{scratch_root(spark)}/vayumark/"):
         raise ValueError(f"{path} is not below the scratch folder")
-    files, folder = _filesystem(spark, path)
+    files, folder = filesystem(spark, path)
     files.delete(folder, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    files, folder = _filesystem(spark, path)
+    files, folder = filesystem(spark, path)
     return files.exists(folder)
 
 
-def _filesystem(spark: SparkSession, path: str):
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    files, folder = filesystem(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole."""
+    files, file = filesystem(spark, path)
+    stream = files.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that appears whole or not at all; refused if there is one."""
+    files, file = filesystem(spark, path)
+    if files.exists(file):
+        raise FileExistsError(path)
+    parent, name = path.rsplit("/", 1)
+    _, draft = filesystem(spark, f"{parent}/.{name}-{uuid.uuid4().hex}")
+    stream = files.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not files.rename(draft, file):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def filesystem(spark: SparkSession, path: str):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 

@@ -3,6 +3,8 @@
 from .lake import (
     finished_days_only,
     last_finished_days,
+    late_days,
+    ledger,
     open_table,
     raw_file_count,
     read_days,
@@ -13,6 +15,8 @@ from .payloads import read_payloads
 
 __all__ = [
     "last_finished_days",
+    "late_days",
+    "ledger",
     "finished_days_only",
     "open_table",
     "raw_file_count",

@@ -611,6 +611,21 @@ ORACLES = {
         SELECT 'hourly' AS model, 'pm10 in range' AS "check", count(*) AS failures, 'fail' AS status
         FROM readings WHERE city_id = 'st1' AND observed_date = DATE '2024-01-05'""",
     "failed_build_keeps_fact": FACT_SQL,
+    "late_days_recomputed": FACT_SQL,
+    "dead_run_keeps_tables": FACT_SQL,
+    "run_times": _with(readings(), *TO_FACT) + "SELECT daily_aqi_id, true AS stamped FROM fact",
+    "late_days_reported": """
+        SELECT DISTINCT CAST(ts AS DATE) AS observed_date, false AS recomputed
+        FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'""",
+    "lake_ledger": _with(readings()) + """
+        SELECT observed_date AS date, run_id, CAST(count(*) AS BIGINT) AS rows
+        FROM readings CROSS JOIN (VALUES ('r1'), ('r2')) AS r(run_id)
+        WHERE run_id = 'r1' OR observed_date >= DATE '2024-01-25' GROUP BY ALL""",
+    "bucketed_reload": _with(readings()) + """
+        SELECT city_id, observed_at, pm2_5,
+               CASE WHEN again THEN pm10 + 1 ELSE pm10 END AS pm10,
+               CASE WHEN again THEN 'r2' ELSE 'r1' END AS run_id
+        FROM (SELECT *, city_id = 'st1' AND observed_date >= DATE '2024-01-25' AS again FROM readings)""",
     "finished_days_only": """
         SELECT event_id, CAST(ts AS DATE) AS date FROM events WHERE ts < TIMESTAMP '2024-01-21'""",
     "last_finished_days": """

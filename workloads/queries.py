@@ -8,15 +8,14 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vayumark import sources
 from vayumark.functions import aqi_category, category_ordinal, day_of
 from vayumark.operators import aqi, daily, marts, quality, rolling, staging, upsert
 from vayumark.operators import payloads as contract
 from vayumark.operators.quality import RowCheck, TableCheck
-from vayumark.plans import audit, build, landing, report
-from vayumark.schemas import FACT, RAW
+from vayumark.plans import audit, build, landing, report, tables
+from vayumark.schemas import RAW
 from vayumark.session import local_scratch, scratch_path, stage
 from . import adapters
 
@@ -618,8 +617,7 @@ def schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     build.write_fact(rows.filter(F.col("observed_date") < date(2024, 1, 16)), path)
     weekend = rows.withColumn("is_weekend", F.weekday("observed_date") >= 5)
     build.write_fact(weekend.filter(F.col("observed_date") >= date(2024, 1, 12)), path)
-    with_flag = T.StructType([*FACT.fields, T.StructField("is_weekend", T.BooleanType())])
-    grown = build.read_fact(spark, path, with_flag)
+    grown = build.read_fact(spark, path)
     return grown.select("daily_aqi_id", "observed_date", "aqi", "is_weekend")
 
 
@@ -631,7 +629,7 @@ def build_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     build.build(
         spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark), now=CHECKED_AT
     )
-    return spark.read.parquet(f"{root}/city_summary")
+    return tables.read(spark, root, "city_summary")
 
 
 @query
@@ -674,10 +672,89 @@ def failed_build_keeps_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     try:
         build.build(*args, now=CHECKED_AT)
     except build.AuditFailed:
-        return compared(build.read_fact(spark, f"{root}/daily_aqi"))
+        return compared(build.read_fact(spark, root))
     raise AssertionError("too many hours a day passed")
 
 
+@query
+def bucketed_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``land_reload``, in a lake with hash buckets of cities; a merge of unchanged readings adds nothing."""
+    lake = scratch_path(spark, "lake")
+    readings = adapters.raw_hourly(spark, sf_dir)
+    landing.land(readings, lake, buckets=8)
+    late = (F.col("city_id") == "st1") & (day_of("observed_at") >= date(2024, 1, 25))
+    again = readings.filter(late).withColumns({"pm10": F.col("pm10") + 1, "run_id": F.lit("r2")})
+    landing.land(again, lake)
+    landing.merge_into_lake(again, lake)
+    return sources.read_raw(spark, lake).select("city_id", "observed_at", "pm2_5", "pm10", "run_id")
+
+
+@query
+def lake_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger of a lake says of two loads: rows by day and run of those that ended."""
+    lake = scratch_path(spark, "lake")
+    readings = adapters.raw_hourly(spark, sf_dir)
+    landing.land(readings, lake)
+    landing.land(readings.filter(day_of("observed_at") >= date(2024, 1, 25)).withColumn("run_id", F.lit("r2")), lake)
+    ended = sources.ledger(spark, lake).filter("state = 'done'")
+    return ended.groupBy("date", "run_id").agg(F.sum("rows").alias("rows"))
+
+
+def built_then_changed(spark: SparkSession, sf_dir: str):
+    """Tables built on readings of which one old day is wrong, and the right ones landed afterwards."""
+    lake, root = scratch_path(spark, "lake"), scratch_path(spark, "tables")
+    readings = adapters.raw_hourly(spark, sf_dir)
+    old = day_of("observed_at") == date(2024, 1, 5)
+    landing.land(readings.withColumn("pm10", F.when(old, F.col("pm10") / 2).otherwise(F.col("pm10"))), lake)
+    args = (spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark))
+    build.build(*args, now=CHECKED_AT)
+    landing.land(readings.filter(old), lake)
+    return args
+
+
+@query
+def late_days_reported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days that a build finds changed behind its look-back."""
+    args = built_then_changed(spark, sf_dir)
+    build.build(*args, now=CHECKED_AT)
+    return build.late_days_reported(spark, args[2])
+
+
+@query
+def late_days_recomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after a build that computed them again: that of a full refresh."""
+    args = built_then_changed(spark, sf_dir)
+    build.build(*args, now=CHECKED_AT, recompute_late=True)
+    return compared(build.read_fact(spark, args[2]))
+
+
+@query
+def dead_run_keeps_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that dies after some of its tables are written: readers see the set before."""
+    root = scratch_path(spark, "tables")
+    rows, dim = fact(spark, sf_dir), dim_city(spark, sf_dir)
+    build.write_fact(rows, root)
+    build.materialize(dim, root, "dim_city")
+    try:
+        with tables.Publication(spark, root) as publication:
+            publication.put("dim_city", dim.limit(0))
+            build.put_fact(publication, rows.withColumn("aqi", F.lit(-1)), replace_all=True)
+            raise InterruptedError("between two writes")
+    except InterruptedError:
+        known = tables.read(spark, root, "dim_city").select("city_id")
+        return compared(build.read_fact(spark, root)).join(known, "city_id", "left_semi")
+
+
+@query
+def run_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When rows of the fact were written: never null, and within the run."""
+    root = scratch_path(spark, "tables")
+    before = spark.range(1).select(F.current_timestamp().alias("at")).first()["at"]
+    build.write_fact(fact(spark, sf_dir), root)
+    stamped = F.col("updated_at").isNotNull() & (F.col("updated_at") >= F.lit(before)) & (F.col("updated_at") <= F.current_timestamp())
+    return build.read_fact(spark, root).select("daily_aqi_id", F.coalesce(stamped, F.lit(False)).alias("stamped"))
+
+
 # Day windows
 
 
