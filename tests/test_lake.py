@@ -47,8 +47,8 @@ def test_reload_replaces_the_slice_and_keeps_the_others(spark, tmp_path):
     land(raw(spark, day_rows(D1) + day_rows(D2) + day_rows(D1, city="pune"), "r1"), lake)
     land(raw(spark, day_rows(D1, range(6)), "r2"), lake)
     assert slices(spark, lake) == {
-        (D1, "delhi", "r2"): 6,
-        (D2, "delhi", "r1"): 24,
+        (D1, "chennai", "r2"): 6,
+        (D2, "chennai", "r1"): 24,
         (D1, "pune", "r1"): 24,
     }
 
@@ -203,7 +203,7 @@ def test_a_lake_without_a_ledger_is_asked_for_write_times(spark, tmp_path):
     assert late_days(spark, lake, D2, datetime(2000, 1, 1)) == [D1]
     assert late_days(spark, lake, D2, datetime(2100, 1, 1)) == []
     land(raw(spark, day_rows(D1, range(3)), "r2"), lake)
-    assert slices(spark, lake) == {(D1, "delhi", "r2"): 3, (D2, "delhi", "t"): 24}
+    assert slices(spark, lake) == {(D1, "chennai", "r2"): 3, (D2, "chennai", "t"): 24}
 
 
 def test_rows_without_a_time_are_kept_apart_by_city(spark, tmp_path):
@@ -211,4 +211,4 @@ def test_rows_without_a_time_are_kept_apart_by_city(spark, tmp_path):
     lost = raw(spark, day_rows(D1, [0]) + day_rows(D1, [1], city="pune")).withColumn("observed_at", F.lit(None).cast("timestamp_ntz"))
     land(lost, lake)
     land(lost.filter("city_id = 'pune'").withColumn("run_id", F.lit("r2")), lake)
-    assert {(r.city_id, r.run_id) for r in read_raw(spark, lake).collect()} == {("delhi", "t"), ("pune", "r2")}
+    assert {(r.city_id, r.run_id) for r in read_raw(spark, lake).collect()} == {("chennai", "t"), ("pune", "r2")}

@@ -32,7 +32,7 @@ def summary_inputs(spark):
     rows = []
     for back in range(40):
         day = last - timedelta(days=back)
-        rows.append(("delhi", day, 150 + back, "Moderate", "pm2_5" if back % 2 else "pm10"))
+        rows.append(("chennai", day, 150 + back, "Moderate", "pm2_5" if back % 2 else "pm10"))
         if back >= 5:
             rows.append(("pune", day, 80, "Satisfactory", "o3"))
     rows.append(("mumbai", last - timedelta(days=35), 250, "Poor", "no2"))
@@ -44,21 +44,21 @@ def test_summary(summary_inputs):
     fact, dim = summary_inputs
     got = {r.city_id: r for r in city_summary(fact, dim).collect()}
     assert len(got) == 10
-    delhi, pune, mumbai, patna = (got[c] for c in ("delhi", "pune", "mumbai", "patna"))
+    chennai, pune, mumbai, patna = (got[c] for c in ("chennai", "pune", "mumbai", "patna"))
     # the window ends at the newest valid date, for every city
-    assert (delhi.days_measured, pune.days_measured) == (30, 25)
-    assert (delhi.avg_aqi_30d, delhi.worst_aqi_30d, delhi.best_aqi_30d) == (165, 179, 150)
+    assert (chennai.days_measured, pune.days_measured) == (30, 25)
+    assert (chennai.avg_aqi_30d, chennai.worst_aqi_30d, chennai.best_aqi_30d) == (165, 179, 150)
     # 15 days each: the tie goes to the smaller name
-    assert delhi.usual_dominant_pollutant == "pm10"
-    assert (delhi.good_or_satisfactory_days, delhi.poor_or_worse_days) == (0, 0)
-    assert (delhi.latest_aqi, delhi.latest_date) == (150, date(2025, 2, 28))
+    assert chennai.usual_dominant_pollutant == "pm10"
+    assert (chennai.good_or_satisfactory_days, chennai.poor_or_worse_days) == (0, 0)
+    assert (chennai.latest_aqi, chennai.latest_date) == (150, date(2025, 2, 28))
     assert (pune.good_or_satisfactory_days, pune.pollution_rank_30d) == (25, 2)
     # latest looks at all history, statistics only at the window
     assert (mumbai.latest_aqi, mumbai.days_measured, mumbai.avg_aqi_30d) == (250, None, None)
     assert mumbai.good_or_satisfactory_days is None and mumbai.usual_dominant_pollutant is None
     assert patna.latest_aqi is None
-    assert delhi.pollution_rank_30d == 1
-    assert {got[c].pollution_rank_30d for c in got if c not in ("delhi", "pune")} == {3}
+    assert chennai.pollution_rank_30d == 1
+    assert {got[c].pollution_rank_30d for c in got if c not in ("chennai", "pune")} == {3}
 
 
 def test_latest_agrees_with_summary(summary_inputs):
@@ -163,7 +163,7 @@ def test_report_data_sets(spark, summary_inputs):
     stats = spark.createDataFrame([(4,)], "cities bigint")
     assert tuple(report.kpi_poor_cities(summary, stats).first()) == (1, 4)
     dominant = {r.city_id: r.dominant_pollutant for r in report.latest_dominant(daily).collect()}
-    assert dominant == {"delhi": "pm10", "pune": "o3"}
+    assert dominant == {"chennai": "pm10", "pune": "o3"}
     bars = [(r.city_name, r.dominant_label) for r in report.latest_bars(summary, daily).collect()]
     assert bars == [("Pune", "O₃"), ("Delhi", "PM10"), ("Mumbai", "–")]
     cells = {(r.city_name, r.d): r.category_ordinal for r in report.heatmap(daily).collect()}
@@ -171,13 +171,13 @@ def test_report_data_sets(spark, summary_inputs):
 
 
 def test_zero_counts_as_not_measured_for_the_cleanest(spark):
-    rows = [("delhi", date(2025, 1, 1), 0, "Good", "co"), ("pune", date(2025, 1, 1), 7, "Good", "co")]
+    rows = [("chennai", date(2025, 1, 1), 0, "Good", "co"), ("pune", date(2025, 1, 1), 7, "Good", "co")]
     summary = city_summary(facts(spark, rows), dim_city(read_cities(spark)))
     assert report.kpi_cleanest(summary).first().city_name == "Pune"
 
 
 def test_history_stats(spark):
-    rows = patterned("delhi", 50.0, date(2025, 1, 1), date(2025, 1, 2)) + patterned(
+    rows = patterned("chennai", 50.0, date(2025, 1, 1), date(2025, 1, 2)) + patterned(
         "pune", 50.0, date(2025, 1, 2), date(2025, 1, 5)
     )
     hourly = stage_hourly(raw(spark, rows))

@@ -31,7 +31,7 @@ def document(hours: int = 24) -> dict:
             **{name: [10 * n + h for h in range(hours)] for n, name in enumerate(FIELDS, 1)},
         },
     }
-    doc["hourly"]["nitrogen_dioxide"][-1] = None
+    doc["hourly"]["ozone"][7] = None
     return doc
 
 
@@ -50,11 +50,11 @@ def damaged(path: tuple, value) -> dict:
 CASES = {
     "good": (document(), []),
     "micro": (damaged(("hourly_units", "ozone"), "µg/m³"), []),
-    "short": (damaged(("hourly", "pm10"), lambda v: v[:-1]), [("pm10", "length")]),
-    "negative": (damaged(("hourly", "pm2_5", 0), -5), [("pm2_5", "negative")]),
-    "unit": (damaged(("hourly_units", "carbon_monoxide"), "mg/m³"), [("carbon_monoxide", "unit")]),
-    "nounit": (damaged(("hourly_units", "pm10"), KeyError), [("pm10", "unit missing")]),
-    "noozone": (damaged(("hourly", "ozone"), KeyError), [("ozone", "missing")]),
+    "short": (damaged(("hourly", "sulphur_dioxide"), lambda v: v[5:]), [("sulphur_dioxide", "length")]),
+    "negative": (damaged(("hourly", "nitrogen_dioxide", 17), -0.25), [("nitrogen_dioxide", "negative")]),
+    "unit": (damaged(("hourly_units", "pm10"), "ppb"), [("pm10", "unit")]),
+    "nounit": (damaged(("hourly_units", "pm2_5"), KeyError), [("pm2_5", "unit missing")]),
+    "nocarbon": (damaged(("hourly", "carbon_monoxide"), KeyError), [("carbon_monoxide", "missing")]),
     "nozone": (damaged(("timezone",), KeyError), [("timezone", "missing")]),
     "nohourly": (damaged(("hourly",), KeyError), [("hourly", "missing")]),
     "nulltime": (damaged(("hourly", "time", 3), None), [("time", "null")]),
@@ -101,7 +101,7 @@ def test_rows_are_one_per_hour_with_renamed_columns(payloads):
     rows = flat.orderBy("observed_at").collect()
     assert len(rows) == 24
     assert tuple(rows[0]) == ("good", datetime(2025, 11, 1, 0), 10.0, 20.0, 30.0, 40.0, 50.0, 60.0)
-    assert rows[-1].no2 is None and rows[-1].pm2_5 == 33.0
+    assert rows[7].o3 is None and rows[-1].pm2_5 == 33.0
 
 
 def test_one_bad_city_does_not_hide_the_others(spark, payloads, tmp_path):
@@ -122,7 +122,7 @@ def test_all_failing_cities_are_quarantined(spark, payloads, tmp_path):
     with pytest.raises(ContractError, match=f"30 violations.* 30 cities.*{tmp_path}") as failure:
         require_valid(many.select(*payloads.columns), f"{tmp_path}/bad")
     found = spark.read.parquet(f"{tmp_path}/bad").collect()
-    assert {(r.city_id, r.field) for r in found} == {(f"town{n}", "pm2_5") for n in range(30)}
+    assert {(r.city_id, r.field) for r in found} == {(f"town{n}", "nitrogen_dioxide") for n in range(30)}
     assert failure.value.errors.count() == 30
     assert require_valid(payloads.filter("city_id = 'good'"), f"{tmp_path}/none").count() == 1
 

@@ -96,14 +96,14 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     def series(name: str):
         return F.transform("hours", lambda h: h[name])
 
-    def first_negative(values):
-        return F.concat(F.array(F.lit(-5.0)), F.slice(values, 2, F.size(values)))
+    def last_negative(values):
+        return F.concat(F.slice(values, 1, F.size(values) - 1), F.array(F.lit(-0.75)))
 
     # API name -> (day of the month, damage)
     damaged = {
-        "pm10": F.when(month_day == 3, F.slice(series("pm10"), 1, F.size("hours") - 1)),
-        "pm2_5": F.when(month_day.isin(6, 15), first_negative(series("pm2_5"))),
-        "ozone": F.when(month_day == 12, F.lit(None)),
+        "sulphur_dioxide": F.when(month_day == 3, F.slice(series("so2"), 2, F.size("hours"))),
+        "nitrogen_dioxide": F.when(month_day.isin(6, 15), last_negative(series("no2"))),
+        "carbon_monoxide": F.when(month_day == 12, F.lit(None)),
     }
     arrays = [
         (
@@ -116,7 +116,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     # day 18 writes the micro sign, which is as good as the Greek letter
     unit["ozone"] = F.when(month_day == 18, "µg/m³").otherwise(EXPECTED_UNIT)
-    unit["carbon_monoxide"] = F.when(month_day.isin(9, 15), "mg/m³").otherwise(EXPECTED_UNIT)
+    unit["pm10"] = F.when(month_day.isin(9, 15), "ppb").otherwise(EXPECTED_UNIT)
     units = F.create_map(*(part for api, text in unit.items() for part in (F.lit(api), text)))
     return docs.select(
         F.when(month_day != 21, F.col("city_id")).alias("city_id"),

@@ -404,8 +404,8 @@ DECLARED_SQL = (
 )
 
 # day of the month -> broken field and problem
-DAMAGE = "(VALUES (3, 'pm10', 'length'), (6, 'pm2_5', 'negative'), (9, 'carbon_monoxide', 'unit'), " \
-         "(12, 'ozone', 'missing'), (15, 'pm2_5', 'negative'), (15, 'carbon_monoxide', 'unit'), " \
+DAMAGE = "(VALUES (3, 'sulphur_dioxide', 'length'), (6, 'nitrogen_dioxide', 'negative'), (9, 'pm10', 'unit'), " \
+         "(12, 'carbon_monoxide', 'missing'), (15, 'nitrogen_dioxide', 'negative'), (15, 'pm10', 'unit'), " \
          "(21, 'city_id', 'missing')) " \
          "AS damage(month_day, field, problem)"
 
