@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import filesystem, names_in, read_text, write_text
@@ -168,6 +169,20 @@ class Publication:
         """A table as it will be, or is, if this run did not write it."""
         return _open(self.spark, self.root, name, self.tables[name], since) if name in self.tables else None
 
+    def day_files(self, name: str) -> DataFrame:
+        """Each day of a table with a digest of its files' names, sizes and times, from the listing alone."""
+        table = self.tables[name]
+        base = f"{self.root}/{name}"
+        listed = (
+            self.spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet")
+            .option("basePath", base)
+            .load([f"{base}/{f}" for f in table.folders()])
+        )
+        file = F.concat_ws("|", F.regexp_replace("path", "^.*/", ""), "length", F.unix_micros("modificationTime"))
+        files = F.sha2(F.array_join(F.array_sort(F.collect_list(file)), ","), 256)
+        return listed.groupBy(F.col(table.day).cast("date").alias(table.day)).agg(files.alias("files"))
+
     def commit(self, **notes) -> None:
         """Put the written tables in force, all at once."""
         held = {"tables": {n: vars(t) for n, t in self.tables.items()}, "notes": notes}

@@ -613,6 +613,10 @@ ORACLES = {
     "failed_build_keeps_fact": FACT_SQL,
     "late_days_recomputed": FACT_SQL,
     "dead_run_keeps_tables": FACT_SQL,
+    "tampered_day": _with(readings(), *TO_FACT) + """
+        SELECT 'daily_aqi' AS model, name AS "check", count(*) AS failures, 'fail' AS status
+        FROM fact CROSS JOIN (VALUES ('daily_aqi_id unique'), ('city_id + observed_date unique')) AS c(name)
+        WHERE observed_date = DATE '2024-01-05' GROUP BY name""",
     "run_times": _with(readings(), *TO_FACT) + "SELECT daily_aqi_id, true AS stamped FROM fact",
     "late_days_reported": """
         SELECT DISTINCT CAST(ts AS DATE) AS observed_date, false AS recomputed

@@ -745,6 +745,23 @@ def dead_run_keeps_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         return compared(build.read_fact(spark, root)).join(known, "city_id", "left_semi")
 
 
+@query
+def tampered_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows copied into the files of an old published day: the checks that the next incremental build fails."""
+    lake, root = scratch_path(spark, "lake"), scratch_path(spark, "tables")
+    landing.land(adapters.raw_hourly(spark, sf_dir), lake)
+    args = (spark, lake, root, adapters.cities(spark, sf_dir), sources.read_breakpoints(spark))
+    build.build(*args, now=CHECKED_AT)
+    version = tables.current(spark, root).tables["daily_aqi"].days["2024-01-05"]
+    copies = stage(build.read_fact(spark, root).filter(F.col("observed_date") == date(2024, 1, 5)).drop("observed_date"), "copies")
+    copies.write.mode("append").parquet(f"{root}/daily_aqi/version={version}/observed_date=2024-01-05")
+    try:
+        build.build(*args, now=CHECKED_AT)
+    except build.AuditFailed as error:
+        return error.results.filter("status = 'fail'")
+    raise AssertionError("copied rows passed")
+
+
 @query
 def run_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When rows of the fact were written: never null, and within the run."""
