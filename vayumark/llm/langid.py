@@ -27,6 +27,8 @@ TRAIN_ROWS = 2048
 #: N-grams overlap, so their likelihoods count this part of what independent draws would.
 INDEPENDENT = 1 / 6
 ROUNDS = 12
+#: Most bytes of a model, which every executor holds once: 2,048 languages.
+MOST_BYTES = 1 << 29
 
 
 def letters(text: str) -> str:
@@ -90,23 +92,25 @@ def mixture(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
 def train(docs: DataFrame, most: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
     """Probability of each bucket in each language of ``docs`` (doc_id, text, lang).
 
-    At most ``most`` rows of a language are used, with whole texts. Rows without an id, a
-    language or a letter teach nothing.
+    At most ``most`` rows of a language are used, with whole texts: different rows, as
+    rows that are equal in id, text and language count once, and an id that repeats is
+    drawn text by text. Rows without an id, a language or a letter teach nothing.
     """
-    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    usable = docs.filter("lang is not null and text is not null").select(
-        "doc_id", "lang", F.xxhash64("doc_id", "lang").alias("draw")
+    order = Window.partitionBy("lang").orderBy("draw", "doc_id", "other")
+    row = ["doc_id", "lang", "draw", "other"]
+    marked = docs.filter("lang is not null and text is not null and doc_id is not null").select(
+        "doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("draw"), F.xxhash64("text", "lang").alias("other")
     )
+    usable = stage(marked.select(row).distinct(), "training-rows")
     counts = stage(usable.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
     picked = (
         usable.join(counts, "lang")
         .filter(among_smallest(F.col("draw"), most, F.col("rows")))
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= most)
-        .select("doc_id", "lang")
-        .distinct()
+        .select(row)
     )
-    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "text")
+    rows = marked.join(picked, row).groupBy(*row).agg(F.first("text").alias("text")).select("lang", "text")
     blank = letters_table()
 
     def count(batches):
@@ -122,8 +126,10 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
         )
 
     total: dict[str, np.ndarray] = {}
-    for r in rows.repartition(8).mapInArrow(count, "lang string, counts binary").toLocalIterator():
+    for r in stage(rows.mapInArrow(count, "lang string, counts binary"), "language-counts").toLocalIterator():
         total[r["lang"]] = total.get(r["lang"], 0) + np.frombuffer(bytes(r["counts"]), np.float64)
+        if len(total) * BUCKETS * 8 > MOST_BYTES:
+            raise ValueError(f"the model of more than {len(total) - 1} languages is over {MOST_BYTES} bytes")
     return {lang: (total[lang] + 0.1) / (total[lang].sum() + 0.1 * BUCKETS) for lang in sorted(total)}
 
 
@@ -137,10 +143,14 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], *columns: str) -> Da
     Other columns are ignored unless named. An empty table gives an empty result.
     """
     names = list(model)
-    table = np.stack(list(model.values())) if names else np.zeros((0, BUCKETS))
+    held = np.stack(list(model.values())) if names else np.zeros((0, BUCKETS))
+    if held.nbytes > MOST_BYTES:
+        raise ValueError(f"a model of {held.nbytes} bytes is over {MOST_BYTES}")
+    shared = docs.sparkSession.sparkContext.broadcast(held)
     blank = letters_table()
 
     def run(batches):
+        table = shared.value
         for batch in batches:
             best, score, shares = [], [], []
             for text in batch.column("text").to_pylist():
