@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -79,6 +80,41 @@ def test_incremental_run_returns_old_and_new_blobs(spark):
     assert again.drop("rank").exceptAll(whole.drop("rank")).count() == 0 and again.count() == whole.count()
 
 
+def test_stored_ledger_matches_only_what_is_new(spark, tmp_path):
+    """Three runs over one pair of tables: all, the same again with new rows, a newer rule."""
+    path, docs = str(tmp_path / "secrets"), documents(spark, TEXTS)
+
+    def stored(name):
+        return spark.read.parquet(f"{path}/{name}").count()
+
+    def spans(docs, findings):
+        return sorted(map(str, op.spans_by_path(docs, findings, "doc_id").collect()))
+
+    plain, _ = op.scan(docs)
+    assert spans(docs, op.scan_stored(docs, path)) == spans(docs, plain)
+    before = stored("ledger"), stored("findings")
+    assert spans(docs, op.scan_stored(docs, path)) == spans(docs, plain)
+    assert (stored("ledger"), stored("findings")) == before  # nothing was matched anew
+    more = documents(spark, [*TEXTS, (70, f"new {HEX}"), (71, TEXTS[0][1])])
+    assert spans(more, op.scan_stored(more, path)) == spans(more, op.scan(more)[0])
+    assert (stored("ledger"), stored("findings")) == (before[0] + len(op.RULES), before[1] + 1)
+    newer = tuple(replace(r, pattern="[0-9a-f]{40,}", version=2) if r.kind == "hex" else r for r in op.RULES)
+    assert spans(more, op.scan_stored(more, path, newer)) == spans(more, op.scan(more, rules=newer)[0])
+    assert stored("ledger") == before[0] // len(op.RULES) * (len(op.RULES) + 1) + len(op.RULES) + 1
+    # a run that died after its findings were stored is repeated
+    spark.read.parquet(f"{path}/findings").limit(3).coalesce(1).write.mode("append").parquet(f"{path}/findings")
+    assert spans(more, op.scan_stored(more, path)) == spans(more, op.scan(more)[0])
+
+
+def test_redaction_of_columns_with_the_names_used_inside(spark):
+    docs = documents(spark, TEXTS)
+    for name in ("runs", "blob", "found_blob", "run", "start", "end", "rank", "due"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    out = op.redact(docs)
+    assert out.columns == docs.columns and out.count() == len(TEXTS)
+    assert {r.runs for r in out.select("runs").collect()} == {"mine"}
+
+
 def test_redaction(spark):
     texts = [*TEXTS, (8, "nothing here"), (9, f"api_key={HEX}")]
     docs = documents(spark, texts)

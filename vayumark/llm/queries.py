@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vayumark.llm import chat, embedding_dedup, exact_dedup, hard_negatives, html_text, langid, mixing, packing, prefix_trie, quality, secrets, simhash, suffix_dedup
 from vayumark.llm.common import table
 from vayumark.llm.oracles import ORACLES
+from vayumark.session import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -57,7 +58,7 @@ def op6_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    findings, _ = secrets.scan(docs)
+    findings = secrets.scan_stored(docs, scratch_path(spark, "secret-ledger"))
     found = secrets.spans_by_path(docs, findings, "doc_id")
 
     def joined(spans):

@@ -3,8 +3,8 @@
 Every version is addressed by the digest of its content, so a content that occurs
 under many paths or in many versions is one blob. A ledger names the (blob, rule,
 rule version) triples that were scanned before; only the others are matched.
-Findings belong to blobs and are joined back to every path. An incremental run keeps
-them beside the ledger and joins the union of known and new ones.
+Findings belong to blobs and are joined back to every path. ``scan_stored`` keeps both
+as tables: it reads them, matches what they lack, and appends.
 
 Only DataFrame expressions are used. Spark has no function for the places of
 all matches, but matches and the pieces between them give them: a match starts
@@ -17,9 +17,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from vayumark.llm.common import stage
+from vayumark.sources.lake import open_table
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,8 @@ ADDED = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
 )
 RULES = BASE + ADDED
+LEDGER = T.StructType([T.StructField("blob", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("version", T.IntegerType())])
+FINDINGS = T.StructType([*LEDGER.fields, T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 
 
 def addressed(versions: DataFrame, *columns: str) -> DataFrame:
@@ -77,8 +81,8 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
         state = versions.select("blob").distinct().join(done, "blob", "left")
         left = F.array_except(due, F.coalesce("done", F.expr("array()").cast(f"array<{due_type()}>")))
         state = state.select("blob", left.alias("due")).filter(F.size("due") > 0)
-        blobs = versions.join(state, "blob", "left_semi").groupBy("blob").agg(F.first("text").alias("text"))
-        blobs = blobs.join(state, "blob")
+        # copies of a blob become one row before they meet the ledger
+        blobs = versions.groupBy("blob").agg(F.first("text").alias("text")).join(stage(state, "due"), "blob")
     else:
         blobs = versions.groupBy("blob").agg(F.first("text").alias("text")).withColumn("due", due)
 
@@ -151,6 +155,26 @@ def scan_more(versions: DataFrame, ledger: DataFrame | None, known: DataFrame |
     return kept.select(*findings.columns).union(findings), grown
 
 
+def scan_stored(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Findings under ``rules`` of all blobs scanned so far, after scanning what the tables below ``path`` lack.
+
+    ``path``/ledger has (blob, kind, version), ``path``/findings (blob, kind, version,
+    start, end); neither need exist. Findings are appended before the ledger, so a run
+    that dies between is repeated, and what it appended twice counts once. Findings of
+    other rule versions stay stored and are not returned.
+    """
+    spark = versions.sparkSession
+    ledger = open_table(spark, f"{path}/ledger", LEDGER)
+    findings, grown = scan(versions, spark.createDataFrame([], LEDGER) if ledger is None else ledger, rules)
+    due = grown if ledger is None else grown.join(ledger, LEDGER.names, "left_anti")
+    version = F.create_map(*(F.lit(x) for r in rules for x in (r.kind, r.version)))[F.col("kind")]
+    for rows, name in ((findings.select("blob", "kind", version.alias("version"), "start", "end"), "findings"), (due, "ledger")):
+        rows.write.mode("append").option("compression", "zstd").parquet(f"{path}/{name}")
+    known = spark.read.schema(FINDINGS).parquet(f"{path}/findings").filter(F.col("version") == version).distinct()
+    rank = F.create_map(*(F.lit(x) for n, r in enumerate(rules) for x in (r.kind, n)))[F.col("kind")]
+    return known.select("blob", "kind", rank.alias("rank"), "start", "end")
+
+
 def due_type() -> str:
     return "struct<kind:string,version:int>"
 
@@ -176,15 +200,19 @@ def spans_by_path(versions: DataFrame, findings: DataFrame, *columns: str) -> Da
 def redact(docs: DataFrame, mark: str = "[secret]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by ``mark``; overlapping spans become one mark.
 
-    All rows and columns stay; ``n_chars``, if there, is counted anew where the
-    text has changed. Null texts stay null.
+    All rows and columns stay, whatever their names; ``n_chars``, if there, is counted
+    anew where the text has changed. Null texts stay null.
     """
+    columns = docs.columns
+    names = {c: c if c == "text" else f"doc:{c}" for c in columns}
+    kinds = {names[f.name]: f.dataType for f in docs.schema}
+    docs = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
     may = F.lit(False)
     for r in rules:
         may = may | F.col("text").rlike(r.pattern)
     may = F.coalesce(may, F.lit(False))
     # rows that no pattern matches have no findings, so they need not meet them
-    clean, suspect = docs.filter(~may), docs.filter(may)
+    clean, suspect = docs.filter(~may), stage(docs.filter(may), "suspects")
     findings, _ = scan(suspect, rules=rules)
     order = Window.partitionBy("blob").orderBy("start", "end")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -204,16 +232,15 @@ def redact(docs: DataFrame, mark: str = "[secret]", rules: tuple[Rule, ...] = RU
         " cast(coalesce(get(runs, i).start, length(text)) - if(i = 0, 0, get(runs, i - 1).end) as int)))"
     )
     changed = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(pieces, mark))
-    columns = docs.columns
     joined = suspect.join(runs, F.sha2("text", 256) == F.col("found_blob"), "left")
     out = joined.select(
         *(
             changed.alias(c)
             if c == "text"
-            else F.when(F.col("runs").isNull(), F.col(f"`{c}`")).otherwise(F.length(changed)).cast(docs.schema[c].dataType).alias(c)
-            if c == "n_chars"
+            else F.when(F.col("runs").isNull(), F.col(f"`{c}`")).otherwise(F.length(changed)).cast(kinds[c]).alias(c)
+            if c == "doc:n_chars"
             else F.col(f"`{c}`")
-            for c in columns
+            for c in names.values()
         )
     )
-    return clean.union(out)
+    return clean.union(out).select(*(F.col(f"`{n}`").alias(c) for c, n in names.items()))
