@@ -11,7 +11,7 @@ from .lake import (
     read_raw,
 )
 from .lookups import read_breakpoints, read_cities
-from .payloads import read_payloads
+from .payloads import payload_stream, read_payloads
 
 __all__ = [
     "last_finished_days",
@@ -19,6 +19,7 @@ __all__ = [
     "ledger",
     "finished_days_only",
     "open_table",
+    "payload_stream",
     "raw_file_count",
     "read_breakpoints",
     "read_cities",

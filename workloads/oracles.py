@@ -575,6 +575,9 @@ ORACLES = {
         SELECT city_id, observed_at, pm2_5,
                CASE WHEN hour(observed_at) < 12 THEN 'r1' ELSE 'r2' END AS run_id
         FROM readings""",
+    "arriving_payloads": _with(readings(PER_USER)) + """
+        SELECT city_id, observed_at, pm2_5, pm10, no2, so2, o3, co, 'payloads' AS source
+        FROM readings WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15, 21)""",
     "land_payloads": _with(readings(PER_USER)) + """
         SELECT city_id, observed_at, pm2_5, pm10, no2, so2, o3, co, 'payloads' AS source, 'r1' AS run_id
         FROM readings WHERE day(observed_date) NOT IN (3, 6, 9, 12, 15, 21)""",

@@ -17,6 +17,7 @@ from vayumark.operators.quality import RowCheck, TableCheck
 from vayumark.plans import audit, build, landing, report, tables
 from vayumark.schemas import RAW
 from vayumark.session import local_scratch, scratch_path, stage
+from vayumark.streaming import ingest_arrivals
 from . import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -563,6 +564,18 @@ def ingest_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise AssertionError("broken payloads passed")
 
 
+@query
+def arriving_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload files that arrive in two drops, ingested by one run after each and one that finds nothing new."""
+    path, lake, state = (scratch_path(spark, name) for name in ("inbox", "lake", "arrivals"))
+    documents = received(spark, sf_dir)
+    first = F.coalesce(F.dayofmonth(F.array_min("hourly.time")) <= 15, F.lit(True))
+    for drop in (documents.filter(first), documents.filter(~first), documents.limit(0)):
+        drop.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm").json(path)
+        ingest_arrivals(spark, path, lake, "payloads", state, strict=False, multi_line=False)
+    return sources.read_raw(spark, lake).drop("ingested_at", "run_id")
+
+
 @query
 def read_lake_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_path(spark, "lake")
