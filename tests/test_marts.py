@@ -158,16 +158,16 @@ def test_report_data_sets(spark, summary_inputs):
     daily = report.recent_daily(fact, dim, days=10)
     # ten days up to the newest of all facts, valid or not
     assert daily.agg(F.min("d"), F.max("d")).first() == ("2025-02-20", "2025-03-01")
-    assert report.kpi_worst(summary).first().city_name == "Delhi"
+    assert report.kpi_worst(summary).first().city_name == "Chennai"
     assert report.kpi_cleanest(summary).first().city_name == "Pune"
     stats = spark.createDataFrame([(4,)], "cities bigint")
     assert tuple(report.kpi_poor_cities(summary, stats).first()) == (1, 4)
     dominant = {r.city_id: r.dominant_pollutant for r in report.latest_dominant(daily).collect()}
     assert dominant == {"chennai": "pm10", "pune": "o3"}
     bars = [(r.city_name, r.dominant_label) for r in report.latest_bars(summary, daily).collect()]
-    assert bars == [("Pune", "O₃"), ("Delhi", "PM10"), ("Mumbai", "–")]
+    assert bars == [("Pune", "O₃"), ("Chennai", "PM10"), ("Mumbai", "–")]
     cells = {(r.city_name, r.d): r.category_ordinal for r in report.heatmap(daily).collect()}
-    assert cells["Delhi", "2025-02-28"] == 2 and cells["Patna", "2025-03-01"] is None
+    assert cells["Chennai", "2025-02-28"] == 2 and cells["Patna", "2025-03-01"] is None
 
 
 def test_zero_counts_as_not_measured_for_the_cleanest(spark):
