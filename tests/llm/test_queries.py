@@ -20,8 +20,11 @@ COLUMNS = {
     "op8": "doc_id:bigint size:bigint source_size:bigint target:double taken:bigint",
     "op9": "page_id:bigint url:string text:string n_chars:bigint",
     "op10": "doc_id:bigint held_out:boolean lang_pred:string score:double",
+    "op11": "conv_id:bigint depth:bigint parent_conv_id:bigint n_convs:bigint n_children:bigint n_leaves:bigint saved_tokens:bigint ends_sha256:string",
+    "op12": "anchor_id:bigint positive_id:bigint rank:int negative_id:bigint positive_score:bigint negative_score:bigint",
+    "op13": "doc_id:bigint keep_id:bigint group_size:bigint kept:boolean text_sha256:string",
 }
-ROWS = {"op2": "embeddings", "op4": "conversations", "op9": "pages"}
+ROWS = {"op2": "embeddings", "op4": "conversations", "op9": "pages", "op11": "conversations", "op12": "embeddings"}
 
 
 def test_all_are_registered():
