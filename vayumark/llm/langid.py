@@ -11,6 +11,7 @@ in the best set is the prediction.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -110,7 +111,8 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
         .filter(F.col("n") <= most)
         .select(row)
     )
-    rows = marked.join(picked, row).groupBy(*row).agg(F.first("text").alias("text")).select("lang", "text")
+    # staged, so its size is known: a few megabytes go to every task, more are shuffled
+    rows = marked.join(stage(picked, "picked"), row).groupBy(*row).agg(F.first("text").alias("text")).select("lang", "text")
     blank = letters_table()
 
     def count(batches):
@@ -125,9 +127,14 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
             names=["lang", "counts"],
         )
 
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = sum(np.frombuffer(c.as_buffer(), np.float64) for b in batches for c in b.column("counts"))
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([whole.tobytes()], pa.binary())], names=["lang", "counts"])
+
+    counted = rows.mapInArrow(count, "lang string, counts binary").groupBy("lang").applyInArrow(add, "lang string, counts binary")
     total: dict[str, np.ndarray] = {}
-    for r in stage(rows.mapInArrow(count, "lang string, counts binary"), "language-counts").toLocalIterator():
-        total[r["lang"]] = total.get(r["lang"], 0) + np.frombuffer(bytes(r["counts"]), np.float64)
+    for r in stage(counted, "language-counts").toLocalIterator():
+        total[r["lang"]] = np.frombuffer(bytes(r["counts"]), np.float64)
         if len(total) * BUCKETS * 8 > MOST_BYTES:
             raise ValueError(f"the model of more than {len(total) - 1} languages is over {MOST_BYTES} bytes")
     return {lang: (total[lang] + 0.1) / (total[lang].sum() + 0.1 * BUCKETS) for lang in sorted(total)}
